@@ -22,26 +22,38 @@ from gradus.functions.text import clean_text, ngrams, word_tokens
 from gradus.schema import MAX_FEATURES, MIN_DF, NGRAM_MAX
 
 
-def with_terms(
-    df: DataFrame,
-    text: str = "text",
-    ngram_max: int = NGRAM_MAX,
-    drop: tuple[str, ...] | None = None,
-    out: str = "terms",
+def with_words(
+    df: DataFrame, text: str = "text", drop: tuple[str, ...] | None = None
 ) -> DataFrame:
-    """Adds the n-grams of the cleaned text; rows without text or words are dropped."""
+    """Replaces ``text`` by ``words``, the cleaned tokens without stop words.
+
+    Rows whose text is missing, or has no words left, drop out. Cleaning is the costly
+    step: tables that are fitted, transformed and tagged should be cleaned once, here,
+    and kept (persisted or written) in this form.
+    """
     words = word_tokens(clean_text(F.col(text)), drop)
     return (
         df.where(F.col(text).isNotNull() & (F.trim(text) != ""))
         # A one-element explode: the optimizer cannot push the next filter through it,
         # which would clean every text twice.
-        .withColumn("_words", F.explode(F.array(words)))
-        .where(F.size("_words") > 0)
-        .withColumn(out, ngrams(F.col("_words"), ngram_max))
-        .drop("_words")
+        .withColumn("words", F.explode(F.array(words)))
+        .where(F.size("words") > 0)
+        .drop(text)
     )
 
 
+def with_terms(
+    df: DataFrame,
+    text: str = "text",
+    ngram_max: int = NGRAM_MAX,
+    drop: tuple[str, ...] | None = None,
+    out: str = "terms",
+) -> DataFrame:
+    """Adds the n-grams of the words; from ``words`` if there, else from the text."""
+    cleaned = df if "words" in df.columns else with_words(df, text, drop)
+    return cleaned.withColumn(out, ngrams(F.col("words"), ngram_max))
+
+
 def _marked(terms: Column) -> Column:
     """Terms of a row, sorted, each with a flag on its first occurrence."""
     return let(
@@ -124,9 +136,11 @@ class TfidfModel:
         return self.stages.transform(df).drop("_tf", "_tfidf", "terms")
 
     def transform(self, df: DataFrame, text: str = "text") -> DataFrame:
-        """``features`` for new text; unseen terms are dropped, empty rows stay zero."""
-        tokens = word_tokens(clean_text(F.col(text)), self.drop)
-        return self.transform_terms(df.withColumn("terms", ngrams(tokens, self.ngram_max)))
+        """``features`` for new rows; unseen terms are dropped, empty rows stay zero."""
+        words = F.col("words")
+        if "words" not in df.columns:
+            words = word_tokens(clean_text(F.col(text)), self.drop)
+        return self.transform_terms(df.withColumn("terms", ngrams(words, self.ngram_max)))
 
     def long(self, vectors: DataFrame, *keys: str) -> DataFrame:
         """(keys..., term, w), one row per non-zero entry."""

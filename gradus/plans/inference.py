@@ -23,24 +23,17 @@ def recommend_new(
 ) -> DataFrame:
     """(id, source, label, concepts, recommendations), one row per new question.
 
-    ``new``: id, source, text, concepts, flags. ``catalog``: id, source, text, level,
+    ``new``: id, source, words, concepts, flags. ``catalog``: id, source, words, level,
     flags. The level comes from the classifier; candidates lie within one level of it,
     or anywhere when that leaves none.
     """
-    usable = new.where(F.col("text").isNotNull())
     predicted = recommend.with_level(
-        models.score_texts(classifier, usable, scorer), "pred", n_levels
+        models.score_texts(classifier, new, scorer), "pred", n_levels
     ).withColumn("query", F.xxhash64("source", "id"))
     space = fit_tfidf(catalog)
-    vectors = space.transform(catalog)
-    asked = space.transform(
-        predicted.join(usable.select("id", "source", "text"), ["id", "source"])
-        if "text" not in predicted.columns
-        else predicted
-    )
     found = recommend.recommend_for_texts(
-        asked,
-        vectors,
+        space.transform(predicted),
+        space.transform(catalog),
         space,
         k=k,
         window=None if ignore_level else 1,
@@ -48,7 +41,7 @@ def recommend_new(
         relax=True,
     )
     texts = recommend.recommendation_string(found)
-    return asked.join(texts, "query", "left").select(
+    return predicted.join(texts, "query", "left").select(
         "id",
         "source",
         F.col("pred").alias("label"),

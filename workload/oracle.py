@@ -474,8 +474,9 @@ FROM (SELECT DISTINCT fold FROM folded) f JOIN fold_terms t ON t.fold <> f.fold
     cos_rank = plain_top.format(order="cosine DESC, source, id")
     sql["similar_topk"] = f"""{base} SELECT query, rank, source, id, cosine AS score FROM (
   SELECT *, {cos_rank} AS rank FROM pairs) WHERE rank <= 5"""
-    sql["near_duplicates"] = f"""{base} SELECT query, count(*) AS n, min_by(source, source || lpad(CAST(id AS VARCHAR), 12, '0')) AS source,
-  min_by(id, source || lpad(CAST(id AS VARCHAR), 12, '0')) AS id FROM pairs WHERE cosine >= 0.3 GROUP BY query"""
+    sql["near_duplicates"] = f"""{base}, hits AS (SELECT *, count(*) OVER (PARTITION BY query) AS n,
+    row_number() OVER (PARTITION BY query ORDER BY source, id) AS rn FROM pairs WHERE cosine >= 0.3)
+SELECT query, n, source, id FROM hits WHERE rn = 1"""
     tags = f"{_dictionary()}, {_tags('doc_tags', 'doc_words')}"
     sql["concept_jaccard"] = f"""WITH {DOCS}, {_word_table('doc_words', 'docs')}, {tags}, {NEW},
 {_word_table('new_words', 'new')}, {_tags('new_tags', 'new_words')}

@@ -21,7 +21,6 @@ from gradus.operators import consolidate, folds, knn, metrics, models, profile,
 from gradus.operators import ranks, ratings, similarity, tagging, vectors
 from gradus.plans import evaluation, inference
 from gradus.schema import CONCEPTS, LEVELS_3, LEVELS_5
-from gradus.session import spread
 from gradus.sources.files import parse_json_array
 from gradus.sources.tables import catalog_union, contract_report
 from workload import views
@@ -277,13 +276,13 @@ def _rounded_long(model, df, key="id"):
 
 @query
 def tfidf_unigrams(spark, sf_dir):
-    docs = views.wide_questions(spark, sf_dir)
+    docs = views.cleaned_questions(spark, sf_dir)
     return _rounded_long(vectors.fit_tfidf(docs, ngram_max=1), docs)
 
 
 @query
 def tfidf_bigrams(spark, sf_dir):
-    docs = views.wide_questions(spark, sf_dir)
+    docs = views.cleaned_questions(spark, sf_dir)
     return _rounded_long(vectors.fit_tfidf(docs), docs)
 
 
@@ -300,7 +299,7 @@ def _folded(spark, sf_dir, n_levels=3) -> DataFrame:
 
 @query
 def fold_document_frequency(spark, sf_dir):
-    terms = vectors.with_terms(spread(_folded(spark, sf_dir), "id"), ngram_max=1)
+    terms = vectors.with_terms(_folded(spark, sf_dir), ngram_max=1)
     return vectors.fold_term_counts(terms)
 
 
@@ -313,7 +312,7 @@ def _ranked(found: DataFrame, *columns: str) -> DataFrame:
 
 @query
 def similar_topk(spark, sf_dir):
-    docs = views.wide_questions(spark, sf_dir).select("id", "source", "text")
+    docs = views.cleaned_questions(spark, sf_dir)
     model = vectors.fit_tfidf(docs)
     asked = model.transform(views.new_questions(spark, sf_dir).withColumn("id", F.col("query")))
     found = similarity.similar_topk(
@@ -327,7 +326,7 @@ def similar_topk(spark, sf_dir):
 
 @query
 def near_duplicates(spark, sf_dir):
-    docs = views.wide_questions(spark, sf_dir).select("id", "source", "text")
+    docs = views.cleaned_questions(spark, sf_dir)
     model = vectors.fit_tfidf(docs)
     new = views.new_questions(spark, sf_dir)
     asked = model.transform(new.withColumn("id", F.col("query")).drop("level"))
@@ -341,7 +340,7 @@ def near_duplicates(spark, sf_dir):
 
 @query
 def concept_jaccard(spark, sf_dir):
-    docs = views.wide_questions(spark, sf_dir).select("id", "text")
+    docs = views.cleaned_questions(spark, sf_dir)
     words = views.dictionary(docs)
     # Distinct concept sets are few (at most 2 to the size of the taxonomy), so their
     # overlap is computed per set and items are only counted.
@@ -363,7 +362,7 @@ def concept_jaccard(spark, sf_dir):
 
 @query
 def blended_topk(spark, sf_dir):
-    docs = views.wide_questions(spark, sf_dir).select("id", "source", "text")
+    docs = views.cleaned_questions(spark, sf_dir)
     model, words = vectors.fit_tfidf(docs), views.dictionary(docs)
     catalog = views.tagged(model.transform(docs), words)
     asked = views.tagged(model.transform(views.new_questions(spark, sf_dir).drop("level")), words)
@@ -375,8 +374,8 @@ def blended_topk(spark, sf_dir):
 
 @query
 def knn_label(spark, sf_dir):
-    rows = folds.train_test_split(views.training(spark, sf_dir))
-    rows = spread(rows, "id").persist()
+    split = folds.train_test_split(views.training(spark, sf_dir))
+    rows = vectors.with_words(split).persist()
     training = rows.where(~F.col("is_test"))
     model = vectors.fit_tfidf(training)
     features = model.transform(rows)
@@ -512,7 +511,7 @@ def f1_grid(spark, sf_dir):
 
 def _recommender(spark, sf_dir):
     """(model, dictionary, catalog with features, level and flags)."""
-    docs = views.catalog_levels(spark, sf_dir)
+    docs = views.catalog(spark, sf_dir)
     model, words = vectors.fit_tfidf(docs), views.dictionary(docs)
     return model, words, views.tagged(model.transform(docs), words)
 
@@ -581,20 +580,24 @@ def recommend_string(spark, sf_dir):
 
 @query
 def concept_tags(spark, sf_dir):
-    docs = views.wide_questions(spark, sf_dir).select("id", "text")
+    docs = views.cleaned_questions(spark, sf_dir)
     tags = views.tagged(docs, views.dictionary(docs))
-    return tags.select("id", F.array_join("concepts", ",").alias("concepts"))
+    named = tags.select("id", F.array_join("concepts", ",").alias("concepts"))
+    every = views.questions(spark, sf_dir).select("id")
+    return every.join(named, "id", "left").select(
+        "id", F.coalesce("concepts", F.lit("")).alias("concepts")
+    )
 
 
 @query
 def concept_frequency(spark, sf_dir):
-    docs = views.wide_questions(spark, sf_dir).select("id", "text")
+    docs = views.cleaned_questions(spark, sf_dir)
     return profile.concept_frequency(views.tagged(docs, views.dictionary(docs)))
 
 
 @query
 def concept_onehot(spark, sf_dir):
-    docs = views.wide_questions(spark, sf_dir).select("id", "text")
+    docs = views.cleaned_questions(spark, sf_dir)
     tags = views.tagged(docs, views.dictionary(docs)).select("id", "flags")
     # A cache that lacks every fourth row: those get zeros.
     cache = tags.where(F.col("id") % 4 != 0)
@@ -626,7 +629,7 @@ def few_shot_sample(spark, sf_dir):
 
 @query
 def few_shot_label(spark, sf_dir):
-    docs = views.wide_questions(spark, sf_dir).select("id", "source", "text")
+    docs = views.cleaned_questions(spark, sf_dir)
     model = vectors.fit_tfidf(docs)
     chosen = folds.few_shot_sample(views.training(spark, sf_dir, 5), per_class=1)
     examples = model.transform(chosen.withColumn("query", F.col("id")))
@@ -730,7 +733,7 @@ def _small_grid(family: models.Family) -> list[dict]:
 
 def _model_rows(spark, sf_dir) -> DataFrame:
     folded = folds.with_folds(views.training(spark, sf_dir), n_splits=3)
-    return spread(folded, "id").persist()
+    return vectors.with_words(folded).persist()
 
 
 @query
@@ -758,12 +761,10 @@ def knn_oof(spark, sf_dir):
 
 @query
 def score_unlabelled(spark, sf_dir):
-    catalog = spread(
-        views.labelled(spark, sf_dir).select(
-            "id", "source", "text", collapse(F.col("label")).alias("label")
-        ),
-        "id",
+    rows = views.labelled(spark, sf_dir).select(
+        "id", "source", "text", collapse(F.col("label")).alias("label")
     )
+    catalog = vectors.with_words(rows).persist()
     known = catalog.where("label IS NOT NULL")
     model = vectors.fit_tfidf(known)
     fitted = models.fit_classifier(
@@ -774,8 +775,8 @@ def score_unlabelled(spark, sf_dir):
 
 @query
 def compare_approaches(spark, sf_dir):
-    rows = spread(views.training(spark, sf_dir), "id")
-    words = views.dictionary(views.wide_questions(spark, sf_dir).select("id", "text"))
+    words = views.dictionary(views.cleaned_questions(spark, sf_dir))
+    rows = vectors.with_words(views.training(spark, sf_dir))
     return evaluation.compare(
         views.tagged(rows, words), params={"C": 1.0, "max_iter": 20}
     )
@@ -783,9 +784,9 @@ def compare_approaches(spark, sf_dir):
 
 @query
 def inference_table(spark, sf_dir):
-    docs = views.catalog_levels(spark, sf_dir)
-    words = views.dictionary(docs)
-    rows = spread(views.training(spark, sf_dir), "id")
+    catalog = views.catalog(spark, sf_dir)
+    words = views.dictionary(catalog)
+    rows = vectors.with_words(views.training(spark, sf_dir)).persist()
     scorer = vectors.fit_tfidf(rows)
     classifier = models.fit_classifier(
         scorer.transform(rows), models.LOGISTIC, {"C": 1.0, "max_iter": 20}
@@ -794,5 +795,9 @@ def inference_table(spark, sf_dir):
         F.col("query").alias("id"), F.lit("benchmark").alias("source"), "text"
     )
     return inference.recommend_new(
-        views.tagged(new, words), views.tagged(docs, words), scorer, classifier, n_levels=3
+        views.tagged(vectors.with_words(new), words),
+        views.tagged(catalog, words),
+        scorer,
+        classifier,
+        n_levels=3,
     )

@@ -9,7 +9,7 @@ from gradus.functions.concepts import one_hot, tag_by_words
 from gradus.functions.labels import collapse, level_of, note_of
 from gradus.functions.text import clean_text, word_tokens
 from gradus.operators.tagging import concept_dictionary
-from gradus.operators.vectors import term_totals, with_terms
+from gradus.operators.vectors import term_totals, with_terms, with_words
 from gradus.schema import CONCEPTS
 from gradus.session import spread
 
@@ -34,6 +34,12 @@ def wide_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(questions(spark, sf_dir), "id")
 
 
+def cleaned_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, source, words), cleaned once for queries that need the words repeatedly."""
+    docs = wide_questions(spark, sf_dir).select("id", "source", "text")
+    return with_words(docs).persist()
+
+
 def _level(n_chars: Column, cuts: Column) -> Column:
     above = [(n_chars > cuts[i]).cast("int") for i in range(len(QUANTILES))]
     return level_of(F.lit(1) + above[0] + above[1] + above[2] + above[3])
@@ -106,7 +112,8 @@ def dictionary(docs: DataFrame) -> dict[str, str]:
 
 def tagged(df: DataFrame, words: dict[str, str], text: str = "text") -> DataFrame:
     """Adds ``concepts`` (sorted names) and ``flags`` (0/1)."""
-    concepts = tag_by_words(word_tokens(clean_text(F.col(text))), words)
+    tokens = F.col("words") if "words" in df.columns else word_tokens(clean_text(F.col(text)))
+    concepts = tag_by_words(tokens, words)
     return df.withColumn("concepts", F.explode(F.array(concepts))).withColumn(
         "flags", one_hot(F.col("concepts"))
     )
@@ -122,12 +129,17 @@ def new_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """questions with ``level`` on the 3-level scale, NULL without a label."""
+    """(id, source, level) on the 3-level scale, NULL without a label."""
     three = collapse(F.col("label"), keep_unknown=True)
     rows = labelled(spark, sf_dir)
-    return spread(
-        rows.select("id", "source", "text", note_of(three, 3).cast("int").alias("level")), "id"
-    )
+    return rows.select("id", "source", note_of(three, 3).cast("int").alias("level"))
+
+
+def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned catalog with its levels: (id, source, words, level)."""
+    levels = catalog_levels(spark, sf_dir).drop("source")
+    words = with_words(wide_questions(spark, sf_dir).select("id", "source", "text"))
+    return words.join(levels, "id", "left").persist()
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
