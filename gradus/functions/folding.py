@@ -13,13 +13,22 @@ import string
 import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _WORD = frozenset(string.ascii_lowercase + string.digits)
-_HANGUL = range(0xAC00, 0xD7A4)
-_SURROGATES = range(0xD800, 0xE000)
+
+# Planes and blocks to look at: all but ideographs, Hangul syllables, surrogates and
+# private use, which have no table entries (Hangul decomposes by arithmetic).
+_BLOCKS = (
+    range(0x80, 0x3400),
+    range(0xA000, 0xAC00),
+    range(0xF900, 0x17000),
+    range(0x1AFF0, 0x20000),
+    range(0x2F800, 0x2FA20),
+)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -44,10 +53,7 @@ def _tables(words_only: bool) -> tuple[str, str, dict[str, str]]:
     single: dict[str, str] = {}
     deleted: list[str] = []
     multi: dict[str, str] = {}
-    for point in range(0x80, 0x110000):
-        if point in _HANGUL or point in _SURROGATES:
-            continue
-        char = chr(point)
+    for char in map(chr, chain(*_BLOCKS)):
         folded = fold_string(char)
         if folded == char:
             continue

@@ -235,8 +235,8 @@ def rank_candidates(
     ``size`` is the length of the vocabulary.
     """
     per_block = max(1, block_values // (size + len(CONCEPTS)))
-    n_queries = queries.count()
-    n_blocks = max(1, -(-n_queries // per_block))
+    queries = queries.persist()
+    n_blocks = max(1, -(-queries.count() // per_block))
     if n_blocks > 1:
         # Several passes: compute both sides once, in storage all executors reach.
         catalog, queries = durable(catalog), durable(queries)
@@ -302,6 +302,7 @@ def near_duplicates(
     and never listed.
     """
     per_block = max(1, block_values // (size + len(CONCEPTS)))
+    queries = queries.persist()
     n_blocks = max(1, -(-queries.count() // per_block))
     if n_blocks > 1:
         catalog, queries = durable(catalog), durable(queries)

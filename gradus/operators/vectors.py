@@ -14,10 +14,9 @@ from dataclasses import dataclass, field
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradus.functions.folding import let
 from gradus.functions.text import clean_text, ngrams, word_tokens
 from gradus.schema import MAX_FEATURES, MIN_DF, NGRAM_MAX
 
@@ -54,26 +53,20 @@ def with_terms(
     return cleaned.withColumn(out, ngrams(F.col("words"), ngram_max))
 
 
-def _marked(terms: Column) -> Column:
-    """Terms of a row, sorted, each with a flag on its first occurrence."""
-    return let(
-        F.sort_array(terms),
-        lambda s: F.transform(
-            s,
-            lambda t, i: F.struct(
-                t.alias("term"),
-                F.when((i > 0) & (F.get(s, i - 1) == t), 0).otherwise(1).alias("first"),
-            ),
-        ),
-    )
-
-
 def term_totals(docs: DataFrame, terms: str = "terms", by: tuple[str, ...] = ()) -> DataFrame:
-    """(by..., term, total, df): occurrences and documents per term."""
-    return (
-        docs.select(*by, F.inline(_marked(F.col(terms))))
-        .groupBy(*by, "term")
-        .agg(F.count(F.lit(1)).alias("total"), F.sum("first").alias("df"))
+    """(by..., term, total, df): occurrences and documents per term.
+
+    The terms of a row are sorted, so that the first occurrence of each is the one that
+    differs from its neighbour: documents are counted without grouping by document.
+    """
+    ordered = docs.select(*by, F.sort_array(terms).alias("_sorted"))
+    # The outer form: for a plain explode the optimizer adds a filter on the array's
+    # size, and computes the n-grams once more for it.
+    each = ordered.select(*by, "_sorted", F.posexplode_outer("_sorted").alias("_pos", "term"))
+    again = F.get("_sorted", F.col("_pos") - 1) == F.col("term")
+    return each.where(F.col("term").isNotNull()).groupBy(*by, "term").agg(
+        F.count(F.lit(1)).alias("total"),
+        F.sum(F.when(again, 0).otherwise(1)).alias("df"),
     )
 
 

@@ -363,7 +363,8 @@ def concept_jaccard(spark, sf_dir):
 @query
 def blended_topk(spark, sf_dir):
     docs = views.cleaned_questions(spark, sf_dir)
-    model, words = vectors.fit_tfidf(docs), views.dictionary(docs)
+    model = vectors.fit_tfidf(docs)
+    words = views.dictionary_of(model, docs)
     catalog = views.tagged(model.transform(docs), words)
     asked = views.tagged(model.transform(views.new_questions(spark, sf_dir).drop("level")), words)
     found = recommend.recommend_for_texts(
@@ -512,8 +513,10 @@ def f1_grid(spark, sf_dir):
 def _recommender(spark, sf_dir):
     """(model, dictionary, catalog with features, level and flags)."""
     docs = views.catalog(spark, sf_dir)
-    model, words = vectors.fit_tfidf(docs), views.dictionary(docs)
-    return model, words, views.tagged(model.transform(docs), words)
+    model = vectors.fit_tfidf(docs)
+    words = views.dictionary_of(model, docs)
+    # Used for the profiles and again for the candidates.
+    return model, words, views.tagged(model.transform(docs), words).drop("words").persist()
 
 
 @query

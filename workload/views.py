@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from gradus.functions.concepts import one_hot, tag_by_words
 from gradus.functions.labels import collapse, level_of, note_of
 from gradus.functions.text import clean_text, word_tokens
-from gradus.operators.tagging import concept_dictionary
-from gradus.operators.vectors import term_totals, with_terms, with_words
+from gradus.operators.vectors import TfidfModel, term_totals, with_terms, with_words
 from gradus.schema import CONCEPTS
 from gradus.session import spread
 
@@ -95,19 +94,26 @@ def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dictionary(docs: DataFrame) -> dict[str, str]:
     """Concept words: a band of the ranking by corpus count, dealt to the taxonomy."""
-    low, high = DICTIONARY_RANKS
     ranked = (
         term_totals(with_terms(docs, ngram_max=1))
         .where("df >= 2")
         .orderBy(F.desc("total"), "term")
-        .limit(high)
+        .limit(DICTIONARY_RANKS[1])
         .collect()
     )
-    return {
-        row.term: CONCEPTS[rank % len(CONCEPTS)]
-        for rank, row in enumerate(ranked, 1)
-        if rank > low
-    }
+    return _dealt([row.term for row in ranked])
+
+
+def dictionary_of(model: TfidfModel, docs: DataFrame) -> dict[str, str]:
+    """The same from a fitted model, whose terms are in that order already."""
+    words = [term for term in model.terms if " " not in term]
+    return _dealt(words) if len(words) >= DICTIONARY_RANKS[1] else dictionary(docs)
+
+
+def _dealt(ranked: list[str]) -> dict[str, str]:
+    low, high = DICTIONARY_RANKS
+    band = enumerate(ranked[:high], 1)
+    return {word: CONCEPTS[rank % len(CONCEPTS)] for rank, word in band if rank > low}
 
 
 def tagged(df: DataFrame, words: dict[str, str], text: str = "text") -> DataFrame:
