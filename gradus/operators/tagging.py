@@ -88,10 +88,12 @@ def parse_reply(raw: Column, schema: str) -> Column:
 
     def parse(text: Column) -> Column:
         def attempt(candidate: Column) -> Column:
-            # The lenient parser yields a row of NULLs for text that is not JSON;
-            # a valid document is recognised by its outermost type first.
-            kind = F.try_variant_get(F.try_parse_json(candidate), "$", "variant")
-            return F.when(kind.isNotNull(), F.from_json(candidate, schema))
+            # from_json is lenient: it reads the first value and ignores what follows.
+            # As the only element of an array, a candidate must be one whole value.
+            wrapped = F.try_parse_json(F.concat(F.lit("["), candidate, F.lit("]")))
+            first = F.try_variant_get(wrapped, "$[0]", "variant")
+            second = F.try_variant_get(wrapped, "$[1]", "variant")
+            return F.when(first.isNotNull() & second.isNull(), F.from_json(candidate, schema))
 
         whole = attempt(text)
         braces = attempt(F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit("")))
