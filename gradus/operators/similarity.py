@@ -17,13 +17,13 @@ affordable on a cluster:
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,8 +36,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_VALUES = 8_000_000  # 64 MB of doubles
 CATALOG_VALUES = 4_000_000  # dense rows a task holds at a time: 32 MB
+WAVE = 16  # blocks in flight
 DIGITS = 6
 
+Task = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
+
 SCORE_SCHEMA = (
     "query long, source string, id long, cosine double, jaccard double, "
     "score double, in_window boolean"
@@ -177,24 +180,91 @@ def _best(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
     return ordered.groupby(["query", "in_window"], sort=False).head(k)
 
 
-def _pass(catalog: DataFrame, block: Block, rules: Rules, size: int) -> DataFrame:
-    """One block against the whole catalog: k rows per query and task."""
-    shared = catalog.sparkSession.sparkContext.broadcast(asdict(block))
-    rows_at_a_time = max(1, CATALOG_VALUES // max(size, len(block.query)))
+def _score_task(shared: Broadcast, rules: Rules, size: int) -> Task:
+    """k rows per query from the catalog rows of one task."""
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block = Block(**shared.value)
+        step = max(1, CATALOG_VALUES // max(size, len(block.query)))
         best: pd.DataFrame | None = None
         for batch in batches:
-            for start in range(0, len(batch), rows_at_a_time):
-                part = batch.iloc[start : start + rows_at_a_time]
-                found = _score_batch(part, block, rules, size)
+            for start in range(0, len(batch), step):
+                found = _score_batch(batch.iloc[start : start + step], block, rules, size)
                 best = found if best is None else pd.concat([best, found])
                 best = _best(best, rules.k)
         if best is not None:
             yield best
 
-    return catalog.mapInPandas(score, SCORE_SCHEMA)
+    return score
+
+
+def _count_task(shared: Broadcast, threshold: float, size: int) -> Task:
+    """How many catalog rows of one task reach the threshold, per query."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block = Block(**shared.value)
+        step = max(1, CATALOG_VALUES // max(size, len(block.query)))
+        for batch in batches:
+            for start in range(0, len(batch), step):
+                pdf = batch.iloc[start : start + step]
+                pdf = pdf.sort_values(["source", "id"], ignore_index=True)
+                dense = _dense(list(pdf["idx"]), list(pdf["w"]), size)
+                hit = np.round(dense[:, block.terms] @ block.weights, DIGITS) >= threshold
+                some = np.flatnonzero(hit.any(axis=0))
+                first = hit[:, some].argmax(axis=0)
+                yield pd.DataFrame(
+                    {
+                        "query": block.query[some],
+                        "n": hit[:, some].sum(axis=0),
+                        "source": pdf["source"].to_numpy(object)[first],
+                        "id": pdf["id"].to_numpy("int64")[first],
+                    }
+                )
+
+    return count
+
+
+def _passes(
+    queries: DataFrame,
+    catalog: DataFrame,
+    size: int,
+    block_values: int,
+    task: Callable[[Broadcast], Task],
+    schema: str,
+    exclude: DataFrame | None = None,
+) -> DataFrame:
+    """Every block of queries against the whole catalog.
+
+    With more than one block both sides are computed once, in storage all executors
+    reach. With more than ``WAVE`` blocks each wave of them is finished and stored before
+    the next, so the driver never holds more than a wave.
+    """
+    context = catalog.sparkSession.sparkContext
+    queries = queries.persist()
+    n_blocks = max(1, -(-queries.count() * (size + len(CONCEPTS)) // block_values))
+    if n_blocks > 1:
+        catalog, queries = durable(catalog), durable(queries)
+
+    def block_of(df: DataFrame, number: int) -> DataFrame:
+        mine = F.pmod(F.xxhash64("query"), F.lit(n_blocks)) == number
+        return df if n_blocks == 1 else df.where(mine)
+
+    finished: list[DataFrame] = []
+    open_passes: list[DataFrame] = []
+    shares: list[Broadcast] = []
+    for number in range(n_blocks):
+        rows = block_of(queries, number).toPandas()
+        target = catalog
+        if exclude is not None:
+            target = _excluded(catalog, block_of(exclude, number))
+        shares.append(context.broadcast(asdict(_block(rows, size))))
+        open_passes.append(target.mapInPandas(task(shares[-1]), schema))
+        if len(open_passes) == WAVE and number + 1 < n_blocks:
+            finished.append(durable(reduce(DataFrame.unionByName, open_passes)))
+            for share in shares:
+                share.destroy()
+            open_passes, shares = [], []
+    return reduce(DataFrame.unionByName, finished + open_passes)
 
 
 def prepare(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -234,27 +304,16 @@ def rank_candidates(
     output of ``prepare``. ``exclude``: (query, source, id) pairs to leave out.
     ``size`` is the length of the vocabulary.
     """
-    per_block = max(1, block_values // (size + len(CONCEPTS)))
-    queries = queries.persist()
-    n_blocks = max(1, -(-queries.count() // per_block))
-    if n_blocks > 1:
-        # Several passes: compute both sides once, in storage all executors reach.
-        catalog, queries = durable(catalog), durable(queries)
-    numbered = queries.withColumn("_block", F.pmod(F.xxhash64("query"), F.lit(n_blocks)))
-    passes = []
-    for number in range(n_blocks):
-        mine = numbered.where(F.col("_block") == number)
-        rows = mine.drop("_block").toPandas()
-        target = catalog
-        if exclude is not None:
-            barred = exclude
-            if n_blocks > 1:
-                barred = exclude.where(
-                    F.pmod(F.xxhash64("query"), F.lit(n_blocks)) == number
-                )
-            target = _excluded(catalog, barred)
-        passes.append(_pass(target, _block(rows, size), rules, size))
-    return _merge(reduce(DataFrame.unionByName, passes), rules)
+    found = _passes(
+        queries,
+        catalog,
+        size,
+        block_values,
+        lambda shared: _score_task(shared, rules, size),
+        SCORE_SCHEMA,
+        exclude,
+    )
+    return _merge(found, rules)
 
 
 def _merge(found: DataFrame, rules: Rules) -> DataFrame:
@@ -301,41 +360,14 @@ def near_duplicates(
     A text may be copied to a third of the catalog, so copies are counted in the tasks
     and never listed.
     """
-    per_block = max(1, block_values // (size + len(CONCEPTS)))
-    queries = queries.persist()
-    n_blocks = max(1, -(-queries.count() // per_block))
-    if n_blocks > 1:
-        catalog, queries = durable(catalog), durable(queries)
-    numbered = queries.withColumn("_block", F.pmod(F.xxhash64("query"), F.lit(n_blocks)))
-
-    def one(number: int) -> DataFrame:
-        rows = numbered.where(F.col("_block") == number).drop("_block").toPandas()
-        shared = catalog.sparkSession.sparkContext.broadcast(asdict(_block(rows, size)))
-        step = max(1, CATALOG_VALUES // max(size, len(rows)))
-
-        def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            block = Block(**shared.value)
-            for batch in batches:
-                for start in range(0, len(batch), step):
-                    pdf = batch.iloc[start : start + step].sort_values(
-                        ["source", "id"], ignore_index=True
-                    )
-                    dense = _dense(list(pdf["idx"]), list(pdf["w"]), size)
-                    hit = np.round(dense[:, block.terms] @ block.weights, DIGITS) >= threshold
-                    some = np.flatnonzero(hit.any(axis=0))
-                    first = hit[:, some].argmax(axis=0)
-                    yield pd.DataFrame(
-                        {
-                            "query": block.query[some],
-                            "n": hit[:, some].sum(axis=0),
-                            "source": pdf["source"].to_numpy(object)[first],
-                            "id": pdf["id"].to_numpy("int64")[first],
-                        }
-                    )
-
-        return catalog.mapInPandas(count, "query long, n long, source string, id long")
-
-    parts = reduce(DataFrame.unionByName, [one(i) for i in range(n_blocks)])
+    parts = _passes(
+        queries,
+        catalog,
+        size,
+        block_values,
+        lambda shared: _count_task(shared, threshold, size),
+        "query long, n long, source string, id long",
+    )
     return parts.groupBy("query").agg(
         F.sum("n").alias("n"),
         F.min(F.struct("source", "id")).alias("first"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,23 +29,29 @@ def local_session(cores: int = 8, memory: str = "8g", **settings: str) -> SparkS
     return builder.getOrCreate()
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder all executors reach, as the session names it."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        # One machine, as in tests: a scratch folder, the same for the whole session.
+        folder = tempfile.mkdtemp(prefix="gradus-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared checkpoint folder.
+    """``df`` written once to the shared folder and read back.
 
-    Survives the loss of executors, unlike cached blocks. The folder is the one
-    the cluster names in ``spark.checkpoint.dir``; only when that is unset and the
-    master is local is a scratch folder of our own taken.
+    Cuts the lineage and survives the loss of executors, unlike cached blocks; unlike a
+    checkpoint it is computed once, and later reads take only the columns they need.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="gradus-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{_shared_folder(spark)}/gradus-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

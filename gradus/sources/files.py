@@ -101,6 +101,17 @@ def read_judge(
     )
 
 
+def read_judge_lines(
+    spark: SparkSession, path: str | list[str], record: T.StructType = JUDGE_RECORD
+) -> DataFrame:
+    """The same columns from JSON lines, which Spark can split within a file."""
+    return spark.read.json(path, schema=record).select(
+        F.col("_metadata.file_name").alias("file"),
+        F.monotonically_increasing_id().alias("pos"),
+        "*",
+    )
+
+
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``df`` itself, or a clear error naming the absent columns."""
     missing = [c for c in columns if c not in df.columns]

@@ -29,13 +29,20 @@ def catalog_union(sources: dict[str, DataFrame]) -> DataFrame:
 
 def read_catalog(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
     """The named sources of a table written by ``write_catalog`` (pruned by partition)."""
-    catalog = spark.read.parquet(root)
-    absent = set(names) - {
-        row.source for row in catalog.select("source").distinct().limit(100_000).collect()
-    }
-    if absent:
-        raise FileNotFoundError(f"sources not in {root}: {sorted(absent)}")
-    return catalog.where(F.col("source").isin(*names))
+    catalog = spark.read.parquet(root).where(F.col("source").isin(*names))
+    found = {row.source for row in catalog.select("source").distinct().collect()}
+    if absent := sorted(set(names) - found):
+        raise FileNotFoundError(f"sources not in {root}: {absent}")
+    return catalog
+
+
+def labelled_only(df: DataFrame, label: str = "label", wanted: bool = True) -> DataFrame:
+    """The rows with a label (or, not ``wanted``, without); an error when there is none."""
+    has = F.col(label).isNotNull()
+    rows = df.where(has if wanted else ~has)
+    if rows.isEmpty():
+        raise ValueError(f"no {'labelled' if wanted else 'unlabelled'} rows")
+    return rows
 
 
 def write_catalog(df: DataFrame, root: str, files_per_source: int = 1) -> None:

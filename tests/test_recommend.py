@@ -97,7 +97,7 @@ def test_rank_candidates_equals_brute_force(corpus, window, relax, max_cosine):
     assert whole == expected
 
 
-def test_small_blocks_give_the_same_result(corpus):
+def test_small_blocks_give_the_same_result(corpus, monkeypatch):
     model, catalog, _ = corpus
     asked = as_queries(prepare(catalog.where("id % 7 = 0").withColumn("query", F.col("id")), ("query",)))
     exclude = catalog.where("id % 5 = 0").select(F.lit(7).cast("long").alias("query"), "source", "id")
@@ -108,6 +108,9 @@ def test_small_blocks_give_the_same_result(corpus):
         rank_candidates(asked, target, model.size, rules, exclude, block_values=10 * (model.size + 15))
     )
     assert one == several
+    monkeypatch.setattr(similarity, "WAVE", 1)
+    waves = rank_candidates(asked, target, model.size, rules, block_values=15 * (model.size + 15))
+    assert as_lists(waves) == as_lists(rank_candidates(asked, target, model.size, rules))
     assert all(i % 5 for _, i in one[7])
 
 

@@ -125,3 +125,39 @@ def test_clean_corpus(spark):
     )
     got = {r.id: (r.label, r.clean) for r in clean_corpus(rows).collect()}
     assert got == {1: ("facil", "arvore"), 4: (None, "grafo")}
+
+
+def test_labelled_rows_or_an_error(spark):
+    rows = spark.createDataFrame([(1, "facil")], "id long, label string")
+    assert tables.labelled_only(rows).count() == 1
+    with pytest.raises(ValueError, match="unlabelled"):
+        tables.labelled_only(rows, wanted=False)
+
+
+def test_judge_lines(spark, tmp_path):
+    path = tmp_path / "judge.jsonl"
+    path.write_text("\n".join(json.dumps(judge_record(n, "Fácil", t)) for n, t in [(1, "a"), (1, "b")]))
+    from gradus.operators.ratings import judge_questions
+
+    rows = judge_questions(files.read_judge_lines(spark, str(path)), False).collect()
+    assert [(r.id, r.text) for r in rows] == [(1, "a")]
+
+
+def test_cache_and_report_sinks(spark, tmp_path):
+    cache, report = str(tmp_path / "cache"), str(tmp_path / "report")
+    assert tables.read_cache(spark, cache, "id long, pred string").count() == 0
+    rows = spark.createDataFrame([(1, "facil")], "id long, pred string")
+    tables.publish(rows, cache)
+    tables.publish(rows, cache)
+    assert tables.read_cache(spark, cache, "id long, pred string").count() == 2
+    tables.write_report(rows, report)
+    assert spark.read.parquet(report).count() == 1
+
+
+def test_consolidated_metrics(spark):
+    from gradus.operators import consolidate
+
+    table = spark.createDataFrame([("knn", 0.4), ("svm", 0.5)], "model string, f1_macro double")
+    whole = consolidate.gather({("x", 3): table, ("y", 5): table.where("model = 'knn'")})
+    best = {(r.source, r.n_levels): r.model for r in consolidate.best(whole).collect()}
+    assert best == {("x", 3): "svm", ("y", 5): "knn"}
