@@ -264,6 +264,7 @@ def _passes(
             for share in shares:
                 share.destroy()
             open_passes, shares = [], []
+    queries.unpersist()
     return reduce(DataFrame.unionByName, finished + open_passes)
 
 

@@ -22,19 +22,24 @@ from gradus.schema import MAX_FEATURES, MIN_DF, NGRAM_MAX
 
 
 def with_words(
-    df: DataFrame, text: str = "text", drop: tuple[str, ...] | None = None
+    df: DataFrame,
+    text: str = "text",
+    drop: tuple[str, ...] | None = None,
+    keep_empty: bool = False,
 ) -> DataFrame:
     """Replaces ``text`` by ``words``, the cleaned tokens without stop words.
 
-    Rows whose text is missing, or has no words left, drop out. Cleaning is the costly
-    step: tables that are fitted, transformed and tagged should be cleaned once, here,
-    and kept (persisted or written) in this form.
+    Rows whose text is missing, or has no words left, drop out unless ``keep_empty``.
+    Cleaning is the costly step: tables that are fitted, transformed and tagged should be
+    cleaned once, here, and kept (persisted or written) in this form.
     """
     words = word_tokens(clean_text(F.col(text)), drop)
+    # A one-element explode: the optimizer cannot push filters on the words through it,
+    # which would clean every text twice.
+    if keep_empty:
+        return df.withColumn("words", F.explode(F.array(words))).drop(text)
     return (
         df.where(F.col(text).isNotNull() & (F.trim(text) != ""))
-        # A one-element explode: the optimizer cannot push the next filter through it,
-        # which would clean every text twice.
         .withColumn("words", F.explode(F.array(words)))
         .where(F.size("words") > 0)
         .drop(text)
@@ -49,7 +54,10 @@ def with_terms(
     out: str = "terms",
 ) -> DataFrame:
     """Adds the n-grams of the words; from ``words`` if there, else from the text."""
-    cleaned = df if "words" in df.columns else with_words(df, text, drop)
+    if "words" in df.columns:
+        cleaned = df.where(F.size("words") > 0)
+    else:
+        cleaned = with_words(df, text, drop)
     return cleaned.withColumn(out, ngrams(F.col("words"), ngram_max))
 
 

@@ -178,11 +178,12 @@ NEW_W = ",\n".join(
     ]
 )
 
-COSINE = """dots AS (SELECT q.id AS query, d.id AS id, sum(q.w * d.w) AS dot
+COSINE = """usable AS (SELECT d.id, d.source FROM docs d JOIN doc_words w USING (id) WHERE len(w.words) > 0),
+dots AS (SELECT q.id AS query, d.id AS id, sum(q.w * d.w) AS dot
   FROM new_w q JOIN doc_w d USING (term) GROUP BY ALL),
 pairs AS (SELECT n.id AS query, n.level AS qlevel, c.id, c.source, coalesce(dots.dot, 0) AS exact,
     round(coalesce(dots.dot, 0), 6) AS cosine
-  FROM new n CROSS JOIN docs c LEFT JOIN dots ON dots.query = n.id AND dots.id = c.id)"""
+  FROM new n CROSS JOIN usable c LEFT JOIN dots ON dots.query = n.id AND dots.id = c.id)"""
 
 
 def _dictionary() -> str:
@@ -265,7 +266,7 @@ wanted AS (SELECT query, list(DISTINCT c) AS concepts FROM (
 dots AS (SELECT p.query, d.id, sum(p.w * d.w) AS dot FROM profile p JOIN doc_w d USING (term) GROUP BY ALL),
 pairs AS (SELECT u.query, u.level AS qlevel, d.id, d.source, l.level, coalesce(x.dot, 0) AS exact,
     coalesce(w.concepts, []) AS wanted, t.concepts
-  FROM {levels} u CROSS JOIN docs d JOIN levels l USING (id) JOIN doc_tags t USING (id)
+  FROM {levels} u CROSS JOIN (SELECT docs.* FROM docs JOIN doc_words w USING (id) WHERE len(w.words) > 0) d JOIN levels l USING (id) JOIN doc_tags t USING (id)
   LEFT JOIN wanted w USING (query)
   LEFT JOIN dots x ON x.query = u.query AND x.id = d.id
   ANTI JOIN history h ON h.query = u.query AND h.id = d.id),

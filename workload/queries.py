@@ -632,7 +632,9 @@ def few_shot_sample(spark, sf_dir):
 
 @query
 def few_shot_label(spark, sf_dir):
-    docs = views.cleaned_questions(spark, sf_dir)
+    # Every document gets a label, also one without any words.
+    texts = views.wide_questions(spark, sf_dir).select("id", "source", "text")
+    docs = vectors.with_words(texts, keep_empty=True).persist()
     model = vectors.fit_tfidf(docs)
     chosen = folds.few_shot_sample(views.training(spark, sf_dir, 5), per_class=1)
     examples = model.transform(chosen.withColumn("query", F.col("id")))
@@ -767,7 +769,7 @@ def score_unlabelled(spark, sf_dir):
     rows = views.labelled(spark, sf_dir).select(
         "id", "source", "text", collapse(F.col("label")).alias("label")
     )
-    catalog = vectors.with_words(rows).persist()
+    catalog = vectors.with_words(rows, keep_empty=True).persist()
     known = catalog.where("label IS NOT NULL")
     model = vectors.fit_tfidf(known)
     fitted = models.fit_classifier(
