@@ -74,12 +74,15 @@ def train_test_split(
 def majority_by_fold(folded: DataFrame, label: str = "label") -> DataFrame:
     """(fold, pred): the most frequent label outside each fold, ties alphabetical."""
     counts = folded.groupBy("fold", F.col(label).alias("pred")).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.groupBy("pred").agg(
-        F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("fold", "n"))).alias("inside")
+    # folds x labels counts, in one row: the rows are read once.
+    table = counts.agg(F.collect_list(F.struct("fold", "pred", "n")).alias("cells"))
+    pairs = table.select("cells", F.explode(F.array_distinct("cells.fold")).alias("fold")).select(
+        "cells", "fold", F.explode(F.array_distinct("cells.pred")).alias("pred")
     )
-    outside = F.col("total") - F.coalesce(F.element_at("inside", F.col("fold")), F.lit(0))
-    folds = counts.agg(F.collect_set("fold")).scalar()
-    pairs = totals.withColumn("fold", F.explode(folds))
+    elsewhere = F.filter(
+        "cells", lambda c: (c["fold"] != F.col("fold")) & (c["pred"] == F.col("pred"))
+    )
+    outside = F.aggregate(elsewhere, F.lit(0).cast("long"), lambda total, c: total + c["n"])
     order = Window.partitionBy("fold").orderBy(F.desc(outside), "pred")
     return (
         pairs.withColumn("_rn", F.row_number().over(order)).where("_rn = 1").select("fold", "pred")

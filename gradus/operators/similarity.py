@@ -240,10 +240,11 @@ def _passes(
     the next, so the driver never holds more than a wave.
     """
     context = catalog.sparkSession.sparkContext
-    queries = queries.persist()
-    n_blocks = max(1, -(-queries.count() * (size + len(CONCEPTS)) // block_values))
+    kept = queries.persist()
+    n_blocks = max(1, -(-kept.count() * (size + len(CONCEPTS)) // block_values))
+    queries = kept
     if n_blocks > 1:
-        catalog, queries = durable(catalog), durable(queries)
+        catalog, queries = durable(catalog), durable(kept)
 
     def block_of(df: DataFrame, number: int) -> DataFrame:
         mine = F.pmod(F.xxhash64("query"), F.lit(n_blocks)) == number
@@ -264,7 +265,7 @@ def _passes(
             for share in shares:
                 share.destroy()
             open_passes, shares = [], []
-    queries.unpersist()
+    kept.unpersist()
     return reduce(DataFrame.unionByName, finished + open_passes)
 
 

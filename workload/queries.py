@@ -299,8 +299,8 @@ def _folded(spark, sf_dir, n_levels=3) -> DataFrame:
 
 @query
 def fold_document_frequency(spark, sf_dir):
-    terms = vectors.with_terms(_folded(spark, sf_dir), ngram_max=1)
-    return vectors.fold_term_counts(terms)
+    words = vectors.with_words(_folded(spark, sf_dir)).persist()
+    return vectors.fold_term_counts(vectors.with_terms(words, ngram_max=1))
 
 
 # --- similarity ---------------------------------------------------------------
@@ -419,8 +419,7 @@ def _predictions(spark, sf_dir) -> DataFrame:
     """Two simple predictors, so that metrics have something to compare:
     the majority of the other folds, and the level suggested by the language."""
     folded = folds.with_folds(
-        views.labelled(spark, sf_dir)
-        .where("label IS NOT NULL")
+        views.supervised(spark, sf_dir)
         .select("id", "lang", collapse(F.col("label")).alias("label"))
     ).persist()
     majority = folded.join(folds.majority_by_fold(folded), "fold").withColumn(
@@ -469,7 +468,7 @@ def fold_mean_std(spark, sf_dir):
 
 def _source_metrics(spark, sf_dir) -> DataFrame:
     """Metrics of both predictors for every document source, 3 and 5 levels."""
-    rows = views.labelled(spark, sf_dir).where("label IS NOT NULL")
+    rows = views.supervised(spark, sf_dir)
     guess5 = F.when(F.col("lang") == "en", "facil").when(F.col("lang") == "de", "medio")
     guess5 = guess5.otherwise("muito_dificil")
     parts = {}

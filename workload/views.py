@@ -39,29 +39,39 @@ def cleaned_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_words(docs).persist()
 
 
-def _level(n_chars: Column, cuts: Column) -> Column:
-    above = [(n_chars > cuts[i]).cast("int") for i in range(len(QUANTILES))]
-    return level_of(F.lit(1) + above[0] + above[1] + above[2] + above[3])
+def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality")
+
+
+def _label(spark: SparkSession, sf_dir: str) -> Column:
+    """5-level label: the quintile of the text length among the rows in labels.
+
+    The four cuts are fetched once and become constants of the plan.
+    """
+    marked = _marked(spark, sf_dir)
+    sizes = questions(spark, sf_dir).select("id", "n_chars").join(marked, "id", "left_semi")
+    cuts = sizes.agg(F.percentile("n_chars", F.array(*map(F.lit, QUANTILES)))).first()[0]
+    above = [(F.col("n_chars") > cut).cast("int") for cut in cuts or ()]
+    return level_of(sum(above, F.lit(1)))
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """questions plus ``label``: a quintile of the text length for rows in labels."""
-    docs = questions(spark, sf_dir)
-    marked = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality")
-    cuts = (
-        docs.join(marked, "id", "left_semi")
-        .agg(F.percentile("n_chars", F.array(*map(F.lit, QUANTILES))))
-        .scalar()
-    )
-    label = F.when(F.col("quality").isNotNull(), _level(F.col("n_chars"), cuts))
-    return docs.join(marked, "id", "left").withColumn("label", label).drop("quality")
+    """questions plus ``label``, NULL for rows that are not in labels."""
+    label = F.when(F.col("quality").isNotNull(), _label(spark, sf_dir))
+    docs = questions(spark, sf_dir).join(_marked(spark, sf_dir), "id", "left")
+    return docs.withColumn("label", label).drop("quality")
+
+
+def supervised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``labelled`` that have a label."""
+    docs = questions(spark, sf_dir).join(_marked(spark, sf_dir).drop("quality"), "id")
+    return docs.withColumn("label", _label(spark, sf_dir))
 
 
 def training(spark: SparkSession, sf_dir: str, n_levels: int = 3) -> DataFrame:
     """The labelled rows as (id, text, label)."""
-    rows = labelled(spark, sf_dir).where(F.col("label").isNotNull())
     label = F.col("label") if n_levels == 5 else collapse(F.col("label"))
-    return rows.select("id", "text", label.alias("label"))
+    return supervised(spark, sf_dir).select("id", "text", label.alias("label"))
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
