@@ -3,24 +3,13 @@
 from __future__ import annotations
 
 from functools import lru_cache
+from pathlib import Path
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gradus.functions.folding import fold_accents, fold_for_words, fold_string, let
 
-# The short stop-word list for callers who want results that do not
-# depend on Spark's own lists.
-SHORT_STOPWORDS = """
-a o e de da do das dos um uma uns umas para por com que em no na nos nas
-se os as ao aos lhe lhes ele ela eles elas eu tu nos vos como mais mas ou
-ser ter ja nao sim entre sobre seu sua seus suas este esta isto esse essa
-the a an and or of to in is are was were for on with this that be by as at
-it from be been being he she they we you your our
-""".split()
-
-
 # White space as Python's str methods see it; Java's \s alone is ASCII.
 SPACE = r"[\s\p{Z}\x{1c}-\x{1f}\x{85}]"
 
@@ -37,13 +26,18 @@ def squeeze(text: Column) -> Column:
 
 @lru_cache(maxsize=4)
 def stopwords(languages: tuple[str, ...] = ("portuguese", "english")) -> tuple[str, ...]:
-    """Spark's stop-word lists, folded like the text they are compared with."""
+    """The public lists Spark ML ships, folded like the text they are compared with.
+
+    They are kept as data of this package, one word a line, so that neither a running
+    session nor a jar is needed to know them.
+    """
+    folder = Path(__file__).with_name("stopwords")
     words = {
-        fold_string(word)
+        fold_string(word.strip())
         for language in languages
-        for word in StopWordsRemover.loadDefaultStopWords(language)
+        for word in (folder / f"{language}.txt").read_text(encoding="utf-8").splitlines()
     }
-    return tuple(sorted(words))
+    return tuple(sorted(words - {""}))
 
 
 def clean_text(text: Column) -> Column:

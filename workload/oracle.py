@@ -6,34 +6,14 @@ correlated steps that would not scale: it only has to be right on small tables.
 
 from __future__ import annotations
 
-import unicodedata
-import zipfile
 from functools import lru_cache
-from pathlib import Path
 
-import pyspark
-
-from gradus.schema import CONCEPTS, LEVELS_3, LEVELS_5
+from gradus.functions.labels import SEARCH_ORDER, SYNONYMS
+from gradus.functions.text import stopwords
+from gradus.schema import CONCEPTS, FIVE_TO_THREE, JUDGE_LABELS, LEVELS_3, LEVELS_5
 from workload.views import DICTIONARY_RANKS, JUDGE_SPELLING
 
 
-def _fold(text: str) -> str:
-    decomposed = unicodedata.normalize("NFKD", text)
-    return "".join(c for c in decomposed if not unicodedata.combining(c))
-
-
-@lru_cache(maxsize=1)
-def _stopwords() -> list[str]:
-    """The lists Spark ships, read from its jar so that no session is needed."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    words: set[str] = set()
-    with zipfile.ZipFile(jar) as archive:
-        for language in ("portuguese", "english"):
-            name = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
-            words.update(map(_fold, archive.read(name).decode("utf-8").split("\n")))
-    return sorted(w.strip() for w in words if w.strip())
-
-
 def _list(values) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
@@ -50,7 +30,7 @@ def _clean(text: str) -> str:
 def _words(text: str) -> str:
     return (
         f"list_filter(string_split({_clean(text)}, ' '), "
-        f"lambda w: length(w) > 1 AND NOT list_contains({_list(_stopwords())}, w))"
+        f"lambda w: length(w) > 1 AND NOT list_contains({_list(stopwords())}, w))"
     )
 
 
@@ -71,12 +51,6 @@ def _case(expr: str, pairs: dict, other: str = "NULL") -> str:
     return f"CASE {expr} {whens} ELSE {other} END"
 
 
-THREE = {
-    "muito_facil": "facil", "facil": "facil", "medio": "medio",
-    "dificil": "dificil", "muito_dificil": "dificil",
-}
-
-
 def _ordinal(label: str, scale: list[str]) -> str:
     whens = " ".join(f"WHEN '{name}' THEN {i}" for i, name in enumerate(scale, 1))
     return f"CASE {label} {whens} END"
@@ -105,7 +79,7 @@ labelled AS (SELECT d.id, d.source, d.lang, d.text, d.n_chars,
   FROM docs d CROSS JOIN cuts c LEFT JOIN labels l ON l.doc_id = d.id)"""
 
 TRAIN5 = "train AS (SELECT id, text, label FROM labelled WHERE label IS NOT NULL)"
-TRAIN3 = f"train AS (SELECT id, text, {_case('label', THREE)} AS label FROM labelled WHERE label IS NOT NULL)"
+TRAIN3 = f"train AS (SELECT id, text, {_case('label', FIVE_TO_THREE)} AS label FROM labelled WHERE label IS NOT NULL)"
 
 FOLDS = f"""sizes AS (SELECT min(n) AS smallest, count(*) AS classes
   FROM (SELECT count(*) AS n FROM train GROUP BY label)),
@@ -216,7 +190,7 @@ def _jaccard(a: str, b: str) -> str:
 
 
 # Text recommendations: scored pairs with levels and concepts.
-CATALOG_LEVEL = f"levels AS (SELECT id, {_ordinal(_case('label', THREE, 'label'), LEVELS_3)} AS level FROM labelled)"
+CATALOG_LEVEL = f"levels AS (SELECT id, {_ordinal(_case('label', FIVE_TO_THREE, 'label'), LEVELS_3)} AS level FROM labelled)"
 
 
 def _text_pairs() -> str:
@@ -296,14 +270,10 @@ base AS (SELECT p_partkey AS id, p_name AS text, coalesce(n_ratings, 0) AS n_rat
   FROM part LEFT JOIN summary ON summary.id = part.p_partkey)"""
 
 JUDGED = f"judged AS (SELECT o_orderkey AS id, {_case('o_orderpriority', JUDGE_SPELLING)} AS raw_label FROM orders)"
-JUDGE = {
-    "super facil": "muito_facil", "facil": "facil", "medio": "medio",
-    "dificil": "dificil", "super dificil": "muito_dificil",
-}
-JUDGE_LABEL = _case(_key("raw_label"), JUDGE)
+JUDGE_LABEL = _case(_key("raw_label"), JUDGE_LABELS)
 
 PREDICTIONS = f"""{LABELLED},
-train AS (SELECT id, lang AS text, {_case('label', THREE)} AS label FROM labelled WHERE label IS NOT NULL), {FOLDS},
+train AS (SELECT id, lang AS text, {_case('label', FIVE_TO_THREE)} AS label FROM labelled WHERE label IS NOT NULL), {FOLDS},
 outside AS (SELECT f.fold, t.label AS pred, count(*) FILTER (t.fold <> f.fold) AS n
   FROM (SELECT DISTINCT fold FROM folded) f CROSS JOIN folded t GROUP BY ALL),
 majority AS (SELECT fold, pred FROM (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY n DESC, pred) AS rn
@@ -332,7 +302,7 @@ SOURCE_METRICS = f"""{LABELLED},
 five AS (SELECT source, 'language' AS model, label, {GUESS5} AS pred FROM labelled WHERE label IS NOT NULL
   UNION ALL SELECT source, 'always_medio', label, 'medio' FROM labelled WHERE label IS NOT NULL),
 predictions AS (SELECT source, 5 AS n_levels, model, label, pred FROM five
-  UNION ALL SELECT source, 3, model, {_case('label', THREE)}, {_case('pred', THREE)} FROM five),
+  UNION ALL SELECT source, 3, model, {_case('label', FIVE_TO_THREE)}, {_case('pred', FIVE_TO_THREE)} FROM five),
 {_per_class('source, n_levels, model')},
 board AS (SELECT source, n_levels, model, round(accuracy, 6) AS accuracy, round(f1_macro, 6) AS f1_macro,
   round(f1_weighted, 6) AS f1_weighted FROM measures),
@@ -359,21 +329,11 @@ def _profile_row(column: str) -> str:
 def _freeform() -> str:
     first = ["", "Muito ", "very_", "seria  ", "nível-", "VERY "]
     second = ["Fácil", "easy", "MÉDIO", "Medium", "difícil", "hard", "alta", "simples", "xyz abc"]
-    exact = {
-        "muito facil": "muito_facil", "very easy": "muito_facil", "muito baixa": "muito_facil",
-        "muito simples": "muito_facil", "facil": "facil", "easy": "facil", "baixa": "facil",
-        "simples": "facil", "medio": "medio", "media": "medio", "medium": "medio",
-        "moderada": "medio", "muito dificil": "muito_dificil", "very hard": "muito_dificil",
-        "muito alta": "muito_dificil", "muito complexa": "muito_dificil", "dificil": "dificil",
-        "hard": "dificil", "alta": "dificil", "complexa": "dificil",
-    }
-    search = ["muito facil", "very easy", "muito dificil", "very hard", "facil", "easy",
-              "medio", "medium", "media", "dificil", "hard"]
-    inside = " ".join(f"WHEN contains(k, '{t}') THEN '{exact[t]}'" for t in search)
+    inside = " ".join(f"WHEN contains(k, '{t}') THEN '{SYNONYMS[t]}'" for t in SEARCH_ORDER)
     return f"""WITH counted AS (SELECT ({_list(first)})[1 + l_orderkey % 6] || ({_list(second)})[1 + l_partkey % 9] AS answer,
   count(*) AS n FROM lineitem GROUP BY 1),
 keyed AS (SELECT *, trim(regexp_replace(replace(replace({_key('answer')}, '_', ' '), '-', ' '), '\\s+', ' ', 'g')) AS k FROM counted)
-SELECT answer, coalesce({_case('k', exact)}, CASE {inside} END, replace(k, ' ', '_')) AS label, n FROM keyed"""
+SELECT answer, coalesce({_case('k', SYNONYMS)}, CASE {inside} END, replace(k, ' ', '_')) AS label, n FROM keyed"""
 
 
 def _prompt_head() -> str:
@@ -436,7 +396,7 @@ WHERE trim(raw_label) <> '' AND {JUDGE_LABEL} IS NULL GROUP BY 1"""
   row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_quantity) AS rn FROM lineitem) WHERE rn = 1"""
     sql["collapse_levels"] = f"""WITH {LABELLED},
 x AS (SELECT id, CASE WHEN id % 10 = 0 THEN 'outro' ELSE label END AS label FROM labelled)
-SELECT id, label, {_case('label', THREE)} AS for_training, {_case('label', THREE, 'label')} AS for_catalog FROM x"""
+SELECT id, label, {_case('label', FIVE_TO_THREE)} AS for_training, {_case('label', FIVE_TO_THREE, 'label')} AS for_catalog FROM x"""
 
     sql["class_distribution"] = f"""WITH {LABELLED}, c AS (SELECT label, count(*) AS n FROM labelled WHERE label IS NOT NULL GROUP BY 1)
 SELECT CAST({_ordinal('label', LEVELS_5)} AS INTEGER) AS level, label, n,
@@ -601,4 +561,7 @@ SELECT pack, position, answer, coalesce(answer, '') = '' AS retry FROM a"""
     return sql
 
 
-ORACLES = _oracles()
+@lru_cache(maxsize=1)
+def oracles() -> dict[str, str]:
+    """Built when asked for: queries never depend on it."""
+    return _oracles()
