@@ -29,7 +29,7 @@ def local_session(cores: int = 8, memory: str = "8g", **settings: str) -> SparkS
     return builder.getOrCreate()
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach, as the session names it."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -49,7 +49,7 @@ def durable(df: DataFrame) -> DataFrame:
     checkpoint it is computed once, and later reads take only the columns they need.
     """
     spark = df.sparkSession
-    path = f"{_shared_folder(spark)}/gradus-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/gradus-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
