@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gradus.llm import chat, order_minhash, sharding, superminhash, url_filter
+from gradus.llm import bpe, chat, order_minhash, pii, sharding, superminhash, url_filter, wu_manber
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -150,3 +151,69 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
   CAST(sum(size) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id"""
+
+
+@_query
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = wu_manber.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.encode(F.array_join(F.array_sort("items"), ","), "UTF-8"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+ORACLES["op9_benchmark_decontamination"] = r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM (
+  SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+dw AS (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM (
+  SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw))),
+hits AS (SELECT dw.r, dw.i, dw.n, bw.item_id FROM dw JOIN bw ON dw.win = bw.win AND dw.n = bw.n),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+item AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN item USING (r)"""
+
+
+def _of_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
+@_query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs)
+
+    def told(column: str):
+        return F.array_join(
+            F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))),
+            ",",
+        )
+
+    counts = [
+        F.size(F.filter("base_spans", _of_kind(kind))).cast("long").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    digest = F.sha2(F.encode(told("base_spans"), "UTF-8"), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), told("spans").alias("spans"))
+
+TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+
+
+@_query
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = bpe.digests(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
+    return made.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
