@@ -6,8 +6,8 @@ transducer: read the bytes of a token along the trie of the vocabulary, emit it,
 with another token that may follow it. The transducer is made deterministic while it runs:
 a state is the set of paths still open, each with its place in the trie and the token
 before it, and a transition says which path each new one goes on from and what it emits.
-Tokens that all open paths share leave at once or soon after, so the lookahead is bounded
-by the paths that differ. Exactly one path ends with the piece. States and transitions are
+As soon as one path is left, its tokens leave, so the lookahead is bounded by the bytes
+over which paths differ. Exactly one path ends with the piece. States and transitions are
 made when they are first met, and kept up to a bound.
 
 Decoding is a stream: token bytes go through an incremental UTF-8 state machine that gives
@@ -22,6 +22,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from hashlib import sha256
+from itertools import islice
 
 import pyarrow as pa
 import regex
@@ -31,15 +32,14 @@ from pyspark.sql import functions as F
 from gradus.llm.arrow import extend, texts
 
 #: Transitions, pairs and pieces remembered by one worker; beyond, it starts anew.
-TRANSITIONS, PAIRS, PIECES = 400_000, 400_000, 400_000
-#: Tokens that a path holds back before the common ones are looked for; tokens that a
-#: decoding step takes.
-HELD, STEP = 8, 4096
-
-# (trie node, token before it or -1)
-_Path = tuple[int, int]
-# The next state, and for each of its paths the path it goes on from and the token ended, or -1.
-_Step = tuple[int, tuple[tuple[int, int], ...]]
+TRANSITIONS, PAIRS, PIECES = 250_000, 250_000, 500_000
+#: Tokens that a decoding step takes.
+STEP = 4096
+
+# Numbers stand for pairs, to keep many states small. A path: trie node and the token before
+# it (0: none), as node << 24 | token + 1. A step: the next state, then for each of its paths
+# the path it goes on from and the token it ends (0: none), as token + 1 << 8 | path.
+_BITS, _LOW = 24, (1 << 24) - 1
 _NEVER = 1 << 62
 
 
@@ -79,9 +79,9 @@ class Transducer:
         self.accepts[node] = rank
 
     def reset(self) -> None:
-        self.states: list[tuple[_Path, ...]] = [((0, -1),)]
-        self.numbers: dict[tuple[_Path, ...], int] = {self.states[0]: 0}
-        self.moves: dict[int, _Step] = {}
+        self.states: list[tuple[int, ...]] = [(0,)]
+        self.numbers: dict[tuple[int, ...], int] = {(0,): 0}
+        self.moves: dict[int, tuple[int, ...]] = {}
 
     def _last_merge(self, value: bytes) -> tuple[int, int]:
         """The two tokens left before ``value`` is whole; (-1, -1) if it never is."""
@@ -133,26 +133,28 @@ class Transducer:
         self.pairs[before, after] = apart
         return apart
 
-    def _move(self, state: int, byte: int) -> _Step:
-        """One transition, made when it is first needed."""
-        made: dict[_Path, tuple[int, int]] = {}
-        for origin, (node, before) in enumerate(self.states[state]):
-            after = self.children[node].get(byte)
+    def _move(self, state: int, byte: int) -> tuple[int, ...]:
+        """One step, made when it is first needed."""
+        made: dict[int, int] = {}
+        for origin, path in enumerate(self.states[state]):
+            after = self.children[path >> _BITS].get(byte)
             if after is None:
                 continue
+            before = (path & _LOW) - 1
             if self.children[after]:
-                made[after, before] = (origin, -1)
+                made[after << _BITS | before + 1] = origin
             token = self.accepts[after]
             if token >= 0 and self._follows(before, token):
-                made[0, token] = (origin, token)
+                made[token + 1] = token + 1 << 8 | origin
         if not made:
             raise ValueError("the vocabulary lacks a byte")
+        # The path that is at the root, if there is one, comes first.
         paths = tuple(sorted(made))
         number = self.numbers.get(paths)
         if number is None:
             number = self.numbers[paths] = len(self.states)
             self.states.append(paths)
-        step = self.moves[state << 8 | byte] = number, tuple(made[p] for p in paths)
+        step = self.moves[state << 8 | byte] = (number, *[made[p] for p in paths])
         return step
 
     def encode(self, piece: bytes) -> list[int]:
@@ -162,26 +164,30 @@ class Transducer:
         if len(self.moves) > TRANSITIONS:
             self.reset()
         out: list[int] = []
-        state, moves = 0, self.moves
-        held: list[tuple[int, ...]] = [()]  # by path, what is not yet common to all
+        steps: list[tuple[int, ...]] = []  # those whose tokens are not yet out
+        state, known = 0, self.moves.get
         for byte in piece:
-            state, origins = moves.get(state << 8 | byte) or self._move(state, byte)
-            held = [held[o] if token < 0 else (*held[o], token) for o, token in origins]
-            if len(held) == 1:
-                out += held[0]
-                held = [()]
-            elif len(held[0]) > HELD:
-                common = 0
-                for tokens in zip(*held, strict=False):
-                    if tokens.count(tokens[0]) < len(tokens):
-                        break
-                    common += 1
-                out += held[0][:common]
-                held = [h[common:] for h in held]
-        for (node, _), rest in zip(self.states[state], held, strict=True):
-            if not node:  # the one path at whose end a token ends
-                return out + list(rest)
-        raise ValueError("the vocabulary lacks a byte")
+            step = known(state << 8 | byte) or self._move(state, byte)
+            steps.append(step)
+            state = step[0]
+            if len(step) == 2:  # one path is left: all before it is certain
+                out += _told(steps, 0)
+                steps.clear()
+        if self.states[state][0] > _LOW:
+            raise ValueError("the vocabulary lacks a byte")
+        return out + _told(steps, 0)
+
+
+def _told(steps: list[tuple[int, ...]], path: int) -> list[int]:
+    """The tokens on the way to ``path`` of the last step."""
+    tokens = []
+    for step in reversed(steps):
+        code = step[path + 1]
+        if code > 255:
+            tokens.append((code >> 8) - 1)
+        path = code & 255
+    tokens.reverse()
+    return tokens
 
 
 class _Pieces(dict):
@@ -225,13 +231,10 @@ class Codec:
     def decode(self, ids: Iterable[int]) -> Iterator[str]:
         """The text in parts; bytes that are no UTF-8 come out as U+FFFD."""
         machine = codecs.getincrementaldecoder("utf-8")("replace")
-        held: list[bytes] = []
-        for number in ids:
-            held.append(self.token[number])
-            if len(held) == STEP:
-                yield machine.decode(b"".join(held))
-                held.clear()
-        yield machine.decode(b"".join(held), final=True)
+        numbers = iter(ids)
+        while step := b"".join(map(self.token.__getitem__, islice(numbers, STEP))):
+            yield machine.decode(step)
+        yield machine.decode(b"", final=True)
 
 
 @lru_cache(maxsize=2)
