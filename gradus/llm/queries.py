@@ -9,7 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gradus.llm import bpe, chat, order_minhash, pii, sharding, superminhash, url_filter, wu_manber
+from gradus.llm import (
+    bpe,
+    chat,
+    html_extraction,
+    order_minhash,
+    pii,
+    sharding,
+    superminhash,
+    toxicity,
+    url_filter,
+    wu_manber,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -217,3 +228,16 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     made = bpe.digests(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
     return made.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@_query
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extraction.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+@_query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.predict(docs, chain).drop("text")
