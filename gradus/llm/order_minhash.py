@@ -171,12 +171,15 @@ def edited_pairs(df: DataFrame, id_column: str = "doc_id", text_column: str = "t
         F.col("id").alias("prior_id"), F.col("next_id").alias("id"), F.col("put_in").alias("wanted")
     )
     # Heads of the documents, each to the one before it.
-    heads = docs.join(before, "id").select(
+    heads = docs.where("id IS NOT NULL").join(before, "id").select(
         F.col("prior_id").alias("id"), F.substring("text", F.lit(1), F.col("wanted")).alias("head"), "text"
     )
     heads = heads.select("id", "head", F.xxhash64("text").alias("whole"))
     heads = heads.groupBy("id").agg(F.max_by("head", F.struct("head", "whole")).alias("head"))
-    own = docs.join(heads, "id", "left").withColumn("n_chars", F.char_length("text").cast("long"))
+    # Every id has a head. Both joins read the texts by id, so they share one shuffle.
+    known = docs.where("id IS NOT NULL").join(heads, "id")
+    unknown = docs.where("id IS NULL").withColumn("head", F.lit(""))
+    own = known.unionByName(unknown).withColumn("n_chars", F.char_length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")),

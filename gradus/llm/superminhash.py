@@ -8,22 +8,23 @@ every slot is filled no later step can change anything and the document stops. L
 documents need one step.
 
 Documents with equal shingle sets are one class from the start. Class representatives meet
-in the buckets of their bands, and every link is confirmed on the full sets, in three
-rounds, none of which emits the pairs within a group:
+in the buckets of their bands, and every link is confirmed on the full sets, without
+emitting the pairs within a group:
 
-1. each bucket's members against its smallest and its largest member;
-2. each member against the likeliest member of every other component in its bucket;
-3. what is left: members of different components of a bucket whose signatures allow a link.
+1. Each bucket's members are compared with its smallest and its largest member.
+2. Buckets that still join several components are cut into blocks, and pairs of blocks are
+   worked on apart. Signatures tell which members have a partner in another component that
+   may be alike enough; the texts of those only are brought to the block, which compares
+   all such pairs exactly and gives back no more links than join its components.
 
-Rounds 2 and 3 work on blocks of a bucket, so that no task holds a whole large bucket, and
-only on buckets that still join several components. With 32 bands of 4 slots a pair at a
+A pair is looked at in the first of its common buckets only, and no task holds a whole large
+bucket. With 32 bands of 4 slots a pair at a
 likeness of 0.8 meets in no bucket with probability below 1e-7; a true link is missed by
-the signature test of rounds 2 and 3 only beyond 4 standard deviations.
+the signature test of step 2 only beyond 4 standard deviations.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +39,7 @@ from gradus.llm.staging import Stage
 
 SLOTS, BANDS = 128, 32
 #: Members of a bucket in one block.
-BLOCK = 512
+BLOCK = 1024
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64(0xFFFFFFFF)
 _HALF = np.uint64(32)
@@ -94,8 +95,10 @@ def _describe(column: str, width: int, slots: int, bands: int):
         for start, end in pieces(values):
             sets = shingle_sets(values[start:end], width)
             signature = signatures(sets, slots)
-            sketch = mix(signature).astype(np.uint8)
-            for i, (s, keys) in enumerate(zip(sets, _bands(signature, bands), strict=True)):
+            keyed = _bands(signature, bands)
+            # A byte of each slot, then half of each bucket key.
+            sketch = np.hstack([mix(signature).astype(np.uint8), keyed.astype(np.uint32).view(np.uint8)])
+            for i, (s, keys) in enumerate(zip(sets, keyed, strict=True)):
                 out[0].append(len(s))
                 out[1].append(int(mix(s + _GOLD).sum(dtype=np.uint64).view(np.int64)))
                 out[2].append(int(np.bitwise_xor.reduce(mix(s ^ _GOLD)).view(np.int64)))
@@ -133,53 +136,98 @@ def _confirm(pairs: DataFrame, bodies: DataFrame, width: int, percent: int) -> D
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _likely(live: DataFrame, stage: Stage, best: bool, slots: int, percent: int) -> DataFrame:
-    """Pairs of different components in one bucket that the signatures allow.
+class _Block:
+    """Members of one or two blocks of a bucket, and the pairs worth comparing."""
 
-    ``live`` is (key, id, comp, sketch). A bucket is cut into blocks by the hash of the id,
-    and pairs of blocks are worked on apart. ``best``: for each member only the likeliest
-    member of each other component there.
-    """
+    def __init__(self, table: pa.Table, slots: int, percent: int):
+        self.ids = table.column("id").to_numpy()
+        self.comp = table.column("comp").to_numpy()
+        mine = table.column("mine").to_numpy()
+        band, self.low, high = (table.column(c)[0].as_py() for c in ("band", "low", "high"))
+        rows = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8)
+        rows = rows.reshape(len(self.ids), -1)
+        self.slot = rows[:, :slots]
+        # Halves of the keys of the bands before this bucket's: a common one is handled there.
+        self.tag = np.ascontiguousarray(rows[:, slots:]).view(np.uint32)[:, :band]
+        self.first, self.second = np.flatnonzero(mine == self.low), np.flatnonzero(mine == high)
+        self.alone = self.low == high
+        # Four standard deviations below the limit, at most 1/2 for each slot.
+        share = percent / 100
+        self.limit = slots * share - 4 * (slots * share * (1 - share)) ** 0.5
+
+    def pairs(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(member, its likely partners in other components)."""
+        for i in self.first:
+            others = self.second[self.comp[self.second] != self.comp[i]]
+            if self.alone:
+                others = others[others > i]
+            if len(others):
+                likely = (self.slot[others] == self.slot[i]).sum(axis=1) >= self.limit
+                others = others[likely]
+            if len(others):
+                others = others[~(self.tag[others] == self.tag[i]).any(axis=1)]
+            if len(others):
+                yield i, others
+
+
+def _open_members(live: DataFrame, slots: int, percent: int) -> DataFrame:
+    """The members of ``live`` (key, band, id, comp, sketch) that may have links, by block pair."""
     sizes = live.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = live.join(sizes, "key").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
-        "key", "id", "comp", "sketch", "mine",
+        "key", "band", "id", "comp", "sketch", "mine",
         F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
     )
-    # Four standard deviations below the limit, at most 1/2 for each slot.
-    limit = slots * percent / 100 - 4 * (slots * percent / 100 * (1 - percent / 100)) ** 0.5
 
     def run(table: pa.Table) -> pa.Table:
-        ids = table.column("id").to_numpy()
-        comp = table.column("comp").to_numpy()
-        mine = table.column("mine").to_numpy()
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8)
-        sketch = sketch.reshape(len(ids), -1)
-        found: list[tuple[int, int]] = []
-        for i in np.flatnonzero(mine == low):
-            others = np.flatnonzero((mine == high) & (comp != comp[i]))
-            if low == high and not best:
-                others = others[others > i]
-            if not len(others):
-                continue
-            same = (sketch[others] == sketch[i]).sum(axis=1)
-            likely = same >= limit
-            others, same = others[likely], same[likely]
-            if best:
-                top: dict[int, tuple[int, int]] = defaultdict(lambda: (-1, -1))
-                for o, s in zip(others.tolist(), same.tolist(), strict=True):
-                    top[comp[o]] = max(top[comp[o]], (s, o))
-                others = [o for _, o in top.values()]
-            found += [(int(ids[i]), int(ids[o])) for o in others]
-        return pa.table(
-            [pa.array([min(p) for p in found], pa.int64()), pa.array([max(p) for p in found], pa.int64())],
-            names=["a", "b"],
-        )
-
-    made = dealt.groupBy("key", "low", "high").applyInArrow(run, "a long, b long")
-    return made.distinct()
+        keep = np.zeros(len(table), dtype=bool)
+        for i, others in _Block(table, slots, percent).pairs():
+            keep[i] = True
+            keep[others] = True
+        return table.filter(pa.array(keep))
+
+    return dealt.groupBy("key", "low", "high").applyInArrow(run, dealt.schema)
+
+
+def _links_in_blocks(members: DataFrame, bodies: DataFrame, width: int, slots: int, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between components, a forest for each block pair."""
+
+    def run(table: pa.Table) -> pa.Table:
+        block = _Block(table, slots, percent)
+        values = table.column("body").to_pylist()
+        sets: dict[int, np.ndarray] = {}
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        def shingles(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingle_sets([values[i].encode()], width)[0]
+            return sets[i]
+
+        found = []
+        for i, others in block.pairs():
+            mine = shingles(i)
+            for o in others.tolist():
+                x, y = root(int(block.comp[i])), root(int(block.comp[o]))
+                if x == y:
+                    continue
+                theirs = shingles(o)
+                small, large = sorted((len(mine), len(theirs)))
+                if 100 * small < percent * large:
+                    continue
+                common = overlap(mine, theirs)
+                if 100 * common >= percent * (small + large - common):
+                    parent[x] = y
+                    found.append((int(block.ids[i]), int(block.ids[o])))
+        return pa.table([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    whole = members.join(bodies, "id")
+    return whole.groupBy("key", "low", "high").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(
@@ -219,8 +267,7 @@ def near_duplicates(
     reps = nodes.join(classes.where("rep IS NOT NULL"), ["d1", "d2", "n_shingles"]).where("id = rep")
     reps = reps.groupBy("id").agg(F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
 
-    entries = reps.select("id", "sketch", F.explode("keys").alias("key"))
-    slim = entries.select("key", "id")
+    slim = reps.select("id", F.posexplode("keys").alias("band", "key"))
     shared = slim.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     shared = shared.where("low < high")
     placed = stage.write(slim.join(shared, "key"))
@@ -235,14 +282,14 @@ def near_duplicates(
     pairs = placed.select(F.explode(F.array(ends("low"), ends("high"))).alias("p")).select("p.*")
     links = stage.write(_confirm(pairs.where("a < b").distinct(), bodies, shingle_words, percent))
     sketches = stage.write(reps.select("id", "sketch").join(everyone, "id", "left_semi"))
-    for best in (True, False):
-        comp = components(links, stage)
-        named = placed.select("key", "id").join(comp, placed["id"] == comp["node"], "left")
-        named = named.select("key", "id", F.coalesce("component", "id").alias("comp"))
-        open_keys = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-        live = named.join(open_keys.where("x < y").select("key"), "key").join(sketches, "id")
-        pairs = stage.write(_likely(live, stage, best, slots, percent))
-        links = stage.write(links.union(_confirm(pairs, bodies, shingle_words, percent)))
+    comp = components(links, stage)
+    named = placed.select("key", "band", "id").join(comp, placed["id"] == comp["node"], "left")
+    named = named.select("key", "band", "id", F.coalesce("component", "id").alias("comp"))
+    several = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+    live = named.join(several.where("x < y").select("key"), "key").join(sketches, "id")
+    members = stage.write(_open_members(live, slots, percent))
+    more = stage.write(_links_in_blocks(members, bodies, shingle_words, slots, percent))
+    links = links.union(more)
     comp = components(links.union(copies), stage)
     named = facts.select("id", "n_shingles").join(comp, facts["id"] == comp["node"], "left")
     root = F.coalesce("component", "id")
