@@ -47,20 +47,25 @@ def fold_events(log: DataFrame) -> DataFrame:
     """Final turns (conv_id, turn, role, text) of a log (conv_id, seq, turn, kind, role, text).
 
     An event counts unless a later edit or regeneration replaced its turn or took it back.
-    The role is that of the turn's first event that counts and has one. NULL texts and
+    A turn's role is the last one that an event of it gave until its first event that counts,
+    so an edit need not repeat it. NULL texts and
     roles count as empty; events with equal numbers in a turn follow in the order of their
     texts; unknown kinds count as deltas. Conversations with a NULL id are one conversation.
     """
     resets = F.col("kind").isin("edit", "regenerate")
     later = Window.partitionBy("conv_id").orderBy(F.desc("seq"), F.desc("text"))
     taken = F.min(F.when(resets, F.col("turn"))).over(later.rowsBetween(Window.unboundedPreceding, -1))
-    alive = log.withColumn("_taken", taken).where("_taken IS NULL OR _taken > turn")
+    # A turn's role, as given until each of its events.
+    own = Window.partitionBy("conv_id", "turn").orderBy("seq", "text")
+    given = F.last("role", ignorenulls=True).over(own.rowsBetween(Window.unboundedPreceding, 0))
+    told = log.withColumns({"_taken": taken, "_role": given})
+    alive = told.where("_taken IS NULL OR _taken > turn")
     events = F.array_sort(
         F.collect_list(
             F.struct(
                 "seq",
                 F.coalesce("text", F.lit("")).alias("text"),
-                F.col("role").alias("role"),
+                F.col("_role").alias("role"),
             )
         )
     )

@@ -5,9 +5,9 @@ length, the punctuation and the share of text outside links are summed over its
 block's score fuses the three ratios of its path, is smoothed over its neighbours in page
 order, and a threshold on the smoothed scores selects the content blocks. Paths through
 elements that never hold an article (menus, forms, scripts, comments, adverts ...) score
-nothing. The innermost container that holds most of the selected score is the article: an
-``article`` or ``main`` element counts whole, any other gives its selected blocks and the
-headings between them.
+nothing. The innermost container that holds most of the score is the article: ``article``
+and ``main`` elements come first and count whole; on a page without them any container may
+be it, and gives its selected blocks and the headings between them.
 """
 
 from __future__ import annotations
@@ -42,6 +42,7 @@ _INLINE = frozenset(
     "small span strike strong sub sup time tt u var wbr img".split()
 )
 _CONTAINERS = frozenset("body article main section div td center".split())
+_DECLARED = frozenset(("article", "main"))
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Elements that never hold the article, and words that say so in a class, id or role.
 _NEVER = frozenset("head nav header footer aside form button dialog menu option".split())
@@ -62,6 +63,7 @@ class Block:
     text: str
     path: tuple[str, ...]
     containers: tuple[int, ...]
+    declared: tuple[int, ...]  # those of the containers that are an article or main
     linked: int
 
 
@@ -90,7 +92,8 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 containers = tuple(number for _, _, number in open_tags if number)
-                found.append(Block(text, tuple(path), containers, min(linked, len(text))))
+                declared = tuple(n for tag, _, n in open_tags if tag in _DECLARED)
+                found.append(Block(text, tuple(path), containers, declared, min(linked, len(text))))
             parts.clear()
         linked = 0
 
@@ -181,17 +184,17 @@ def main_text(page: str) -> str:
     limit = min(THRESHOLD * deviation, max(scores))
     selected = [s >= limit for s in scores]
 
+    # An article or main element with text is where the page itself says the article is.
+    whole = any(block.declared for block in blocks)
     weight: dict[int, float] = {}
     for block, score, chosen in zip(blocks, scores, selected, strict=True):
-        for number in block.containers if chosen else ():
+        for number in block.declared if whole else block.containers if chosen else ():
             weight[number] = weight.get(number, 0.0) + score
     total = sum(s for s, chosen in zip(scores, selected, strict=True) if chosen)
-    inside = [n for n, w in weight.items() if w >= SHARE * total]
-    root = max(inside) if inside else 0  # numbers grow inwards along a chain
+    limit = SHARE * (max(weight.values()) if whole else total)
+    # Numbers grow inwards along a chain of containers.
+    root = max((n for n, w in weight.items() if w >= limit), default=0)
     within = [not root or root in block.containers for block in blocks]
-    whole = any(
-        w and _whole(block, root) for block, w in zip(blocks, within, strict=True)
-    )
     kept = [
         block.text
         for block, chosen, w in zip(blocks, selected, within, strict=True)
@@ -200,13 +203,6 @@ def main_text(page: str) -> str:
     return "\n".join(kept)
 
 
-def _whole(block: Block, root: int) -> bool:
-    """Whether the container ``root`` of the block is an ``article`` or ``main`` or lies in one."""
-    names = [tag for tag in block.path if tag in _CONTAINERS]
-    depth = block.containers.index(root) + 1 if root in block.containers else 0
-    return any(tag in ("article", "main") for tag in names[:depth])
-
-
 def extract(df: DataFrame, html_column: str = "html") -> DataFrame:
     """``df`` plus ``text``, the main text of each page, and ``n_chars``, its code points.
 
