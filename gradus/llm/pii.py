@@ -134,7 +134,7 @@ def _patterns() -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern]:
     number = "(?:" + "|".join(sorted(_NUMBERS, key=len, reverse=True)) + ")"
     spelled = rf"(?i)(?<![^\W_]){number}(?:[ .,-]{{1,2}}(?:{number}|[0-9]+))+(?![^\W_])"
     # A sign in brackets counts anywhere; the bare words only as in "name at host dot tld".
-    sign = r"(?i) {0,2}[\[({<] {0,2}(?:at|@|dot|punkt|point|punto|arroba|\.) {0,2}[\])}>] {0,2}"
+    sign = r"(?i)[\[({<] {0,2}(?:at|@|dot|punkt|point|punto|arroba|\.) {0,2}[\])}>] {0,2}"
     bare = r"(?i)(?<![\w.%+-])[\w.%+-]{1,64} (?:at|arroba) [\w-]{1,63}(?: (?:dot|punkt|punto) [\w-]{1,63})+"
     return tuple(map(re.compile, (glyphs, spelled, sign, bare)))
 
@@ -161,6 +161,12 @@ class Traced:
         return Traced("".join(text), starts + self.starts[last:], ends + self.ends[last:])
 
 
+def _counts(lowered: str) -> bool:
+    """Whether two number words stand side by side; without, nothing is spelled out."""
+    words = lowered.replace("-", " ").replace(",", " ").replace(".", " ").split()
+    return b"\x01\x01" in bytes(map(_NUMBERS.__contains__, words))
+
+
 def _sign(text: str) -> str:
     return "@" if re.search(r"(?i)at|@|arroba", text) else "."
 
@@ -195,10 +201,21 @@ def normalise(text: str) -> Traced | None:
             for x in re.finditer(r"(?i) (?:at|arroba|dot|punkt|punto) ", m[0])
         ]
 
-    step(glyphs, lambda m: [(m.start(), m.end(), _homoglyphs()[m[0]])])
-    step(spelled, digits)
-    step(sign, lambda m: [(m.start(), m.end(), _sign(m[0]))])
-    step(bare, words)
+    def signs(m: re.Match) -> list[tuple[int, int, str]]:
+        start = m.start()
+        while m.start() - start < 2 and start and m.string[start - 1] == " ":
+            start -= 1
+        return [(start, m.end(), _sign(m[0]))]
+
+    if not text.isascii() and not _homoglyphs().keys().isdisjoint(text):
+        step(glyphs, lambda m: [(m.start(), m.end(), _homoglyphs()[m[0]])])
+    plain = (traced.text if traced else text).lower()
+    if _counts(plain):
+        step(spelled, digits)
+    if "[" in plain or "(" in plain or "{" in plain or "<" in plain:
+        step(sign, signs)
+    if " dot " in plain or " punkt " in plain or " punto " in plain:
+        step(bare, words)
     return traced
 
 
