@@ -44,10 +44,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its tokens in place of its text, and whether they decode to it."""
     path, pattern = public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN
-    made = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, pattern)
-    back = bpe.token_counts(bpe.decode(made, path, pattern))
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return back.select("doc_id", "lang", "source", "ids", "n_tokens", same.alias("round_trip"))
+    made = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), path, pattern)
+    return made.drop("text")
 
 
 STAGES = [

@@ -11,6 +11,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Bytes of text worked on at once inside a task; one longer text is a piece of its own.
 PIECE_BYTES = 1 << 20
+#: Bytes of a batch that is computed and given back at once, if it has several rows.
+BATCH_BYTES = 4 << 20
 
 
 def extend(df: DataFrame, fields: str, compute: Callable[[pa.RecordBatch], list[Iterable]]) -> DataFrame:
@@ -21,9 +23,15 @@ def extend(df: DataFrame, fields: str, compute: Callable[[pa.RecordBatch], list[
     names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [pa.array(v, type=t) for v, t in zip(compute(batch), types, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=names)
+        for whole in batches:
+            rows = max(1, whole.num_rows * BATCH_BYTES // max(whole.nbytes, 1))
+            for start in range(0, whole.num_rows, rows):
+                batch = whole.slice(start, rows)
+                made = [
+                    v if isinstance(v, pa.Array) else pa.array(v, type=t)
+                    for v, t in zip(compute(batch), types, strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=names)
 
     return df.mapInArrow(run, schema)
 

@@ -24,10 +24,10 @@ from functools import lru_cache
 from hashlib import sha256
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gradus.llm.arrow import extend, texts
 
@@ -253,14 +253,37 @@ def encode(df: DataFrame, path: str, pattern: str, text_column: str = "text") ->
     """
     df = df.drop("ids")
 
-    def compute(batch: pa.RecordBatch) -> list[list]:
+    def compute(batch: pa.RecordBatch) -> list:
         own = codec(path, pattern)
-        made = (own.encode(text) for text in texts(batch, text_column))
-        return [[array("I", ids) for ids in made]]
+        return [_arrays([own.encode(text) for text in texts(batch, text_column)])]
 
     return extend(df, "ids array<int>", compute)
 
 
+def _arrays(rows: list[bytes]) -> pa.Array:
+    """Packed ids as an array column, without a Python number for each."""
+    ends = np.cumsum([0, *(len(ids) // 4 for ids in rows)], dtype=np.int32)
+    values = np.frombuffer(b"".join(rows), dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+
+def round_trip(df: DataFrame, path: str, pattern: str, text_column: str = "text") -> DataFrame:
+    """``df`` plus ``ids``, ``n_tokens`` and ``round_trip``: encoded and decoded in one pass.
+
+    ``round_trip`` tells whether the ids decode to the text. Cases as in ``encode``.
+    """
+    df = df.drop("ids", "n_tokens", "round_trip")
+
+    def compute(batch: pa.RecordBatch) -> list:
+        own = codec(path, pattern)
+        values = texts(batch, text_column)
+        made = [own.encode(text) for text in values]
+        same = ["".join(own.decode(array("I", ids))) == t for ids, t in zip(made, values, strict=True)]
+        return [_arrays(made), [len(ids) // 4 for ids in made], same]
+
+    return extend(df, "ids array<int>, n_tokens long, round_trip boolean", compute)
+
+
 def decode(df: DataFrame, path: str, pattern: str, ids_column: str = "ids") -> DataFrame:
     """``df`` plus ``decoded``: the text of the token ids, NULL ids as empty."""
     df = df.drop("decoded")
@@ -296,8 +319,3 @@ def digests(df: DataFrame, path: str, pattern: str, text_column: str = "text") -
         return out
 
     return extend(df, "n_tokens long, ids_sha256 string, decoded_sha256 string", compute)
-
-
-def token_counts(df: DataFrame) -> DataFrame:
-    """``df`` plus ``n_tokens`` from its ``ids``."""
-    return df.withColumn("n_tokens", F.size("ids").cast("long"))
