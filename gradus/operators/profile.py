@@ -119,8 +119,8 @@ def boxplot(df: DataFrame, group: str, column: str) -> DataFrame:
     )
 
 
-def first_example(df: DataFrame, label: str, text: str, order: str, n_chars: int = 400) -> DataFrame:
-    """The first row of each class, its text cut to ``n_chars``.
+def first_example(df: DataFrame, label: str, text: str, order: str) -> DataFrame:
+    """The first row of each class, with its whole text.
 
     The smallest key per class is found first, so no text crosses the shuffle except
     the chosen ones.
@@ -130,7 +130,7 @@ def first_example(df: DataFrame, label: str, text: str, order: str, n_chars: int
     )
     on = (F.col(label) == F.col("_label")) & (F.col(order) == F.col("_first"))
     return df.join(chosen, on).select(
-        F.col(label).alias("label"), order, F.substring(text, 1, n_chars).alias("example")
+        F.col(label).alias("label"), order, F.col(text).alias("example")
     )
 
 

@@ -19,21 +19,18 @@ from gradus.operators.ranks import sequence_rank
 from gradus.operators.similarity import neighbours_of_rows
 from gradus.operators.vectors import TfidfModel
 
-STATEMENT_CHARS = 4000
-PACKED_CHARS = 1500
-
 
 def request(
     text: Column, allowed: Sequence[str], field: str, examples: Sequence[tuple[str, str]] = ()
 ) -> Column:
-    """One request: the allowed values, the reply format, the statement (cut)."""
-    shots = "".join(f'- "{t[:400]}" -> {label}\n' for t, label in examples)
+    """One request: the allowed values, the reply format, the whole statement."""
+    shots = "".join(f'- "{t}" -> {label}\n' for t, label in examples)
     head = (
         (f"Examples:\n{shots}\n" if shots else "")
         + f"Allowed values: {', '.join(allowed)}.\n"
         + f'Reply in JSON with the field "{field}".\n\n'
     )
-    return F.concat(F.lit(head), F.substring(text, 1, STATEMENT_CHARS))
+    return F.concat(F.lit(head), text)
 
 
 def pack_requests(
@@ -41,7 +38,6 @@ def pack_requests(
     pack_size: int = 10,
     key: str = "id",
     text: str = "text",
-    n_chars: int = PACKED_CHARS,
 ) -> DataFrame:
     """(pack, n, first_id, last_id, body): consecutive items, numbered from 1 per pack.
 
@@ -53,7 +49,7 @@ def pack_requests(
         F.floor((F.col("_rank") - 1) / pack_size).cast("long").alias("pack"),
         (F.pmod(F.col("_rank") - 1, F.lit(pack_size)) + 1).cast("int").alias("position"),
         F.col(key).alias("_key"),
-        F.substring(text, 1, n_chars).alias("_text"),
+        F.col(text).alias("_text"),
     )
     items = F.sort_array(F.collect_list(F.struct("position", "_key", "_text")))
     body = F.array_join(

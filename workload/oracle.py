@@ -368,8 +368,8 @@ SELECT count(*) AS rows, count(*) FILTER (id IS NULL) AS null_keys,
     sql["compose_statements"] = f"""WITH {DOCS},
 lines AS (SELECT *, string_split(text, chr(10)) AS ls FROM docs),
 ex AS (SELECT *, list_filter(list_transform(ls, lambda x, i: CASE
-    WHEN (i - 1) % 3 = 0 AND {_strip('x')} || {_strip('substring(x, 2, 30)')} <> '' THEN
-      'Exemplo ' || CAST(i AS VARCHAR) || chr(10) || 'Entrada: ' || {_strip('x')} || chr(10) || 'Saída: ' || {_strip('substring(x, 2, 30)')}
+    WHEN (i - 1) % 3 = 0 AND {_strip('x')} || {_strip('x')} <> '' THEN
+      'Exemplo ' || CAST(i AS VARCHAR) || chr(10) || 'Entrada: ' || {_strip('x')} || chr(10) || 'Saída: ' || {_strip('x')}
     WHEN (i - 1) % 3 = 2 AND {_strip('x')} <> '' THEN
       'Exemplo ' || CAST(i AS VARCHAR) || chr(10) || 'Entrada: ' || {_strip('x')} || chr(10) || 'Saída: ' END),
   lambda p: p IS NOT NULL) AS cases FROM lines),
@@ -420,7 +420,7 @@ x AS (SELECT s.label, s.n_words, q.q, s.n_words BETWEEN q.q[1] - 1.5 * (q.q[3] -
 SELECT label, count(*) AS n, any_value(q[1])::DOUBLE AS q25, any_value(q[2])::DOUBLE AS q50, any_value(q[3])::DOUBLE AS q75,
   min(n_words) FILTER (inside)::DOUBLE AS whisker_low, max(n_words) FILTER (inside)::DOUBLE AS whisker_high,
   count(*) FILTER (NOT inside) AS n_outliers FROM x GROUP BY label"""
-    sql["first_example"] = f"""WITH {LABELLED} SELECT label, id, substring(text, 1, 400) AS example FROM (
+    sql["first_example"] = f"""WITH {LABELLED} SELECT label, id, text AS example FROM (
   SELECT *, row_number() OVER (PARTITION BY label ORDER BY id) AS rn FROM labelled WHERE label IS NOT NULL) WHERE rn = 1"""
 
     sql["vocabulary"] = f"WITH {DOCS}, {_corpus()} SELECT term, total, df FROM vocab"
@@ -535,18 +535,18 @@ FROM docs d LEFT JOIN doc_tags t USING (id)"""
   [({_list(CONCEPTS)})[1 + event_id % 15], CASE user_id % 5 {second_case} END], lambda c: c IS NOT NULL))), ',') AS concepts FROM events"""
     shots = f"""shots AS (SELECT id, text, label, CAST(row_number() OVER (PARTITION BY label ORDER BY {_vote_order()}) AS INTEGER) AS rank FROM train)"""
     sql["few_shot_sample"] = f"""WITH {LABELLED}, {TRAIN5}, {shots}
-SELECT id, label, rank, substring(text, 1, 400) AS example FROM shots WHERE rank <= 2"""
+SELECT id, label, rank, text AS example FROM shots WHERE rank <= 2"""
     sql["few_shot_label"] = f"""WITH {LABELLED}, {TRAIN5}, {shots}, {_corpus()},
 ex AS (SELECT id, label FROM shots WHERE rank = 1),
 dots AS (SELECT d.id, e.id AS ex, sum(d.w * e.w) AS dot FROM doc_w d JOIN doc_w e USING (term) JOIN ex ON ex.id = e.id GROUP BY ALL)
 SELECT id, pred, cosine FROM (SELECT d.id, ex.label AS pred, round(coalesce(dot, 0), 6) AS cosine,
   row_number() OVER (PARTITION BY d.id ORDER BY round(coalesce(dot, 0), 6) DESC, ex.id) AS rn
   FROM docs d CROSS JOIN ex LEFT JOIN dots ON dots.id = d.id AND dots.ex = ex.id) WHERE rn = 1"""
-    sql["pack_requests"] = f"""WITH {DOCS}, r AS (SELECT id, substring(text, 1, 1500) AS t, row_number() OVER (ORDER BY id) AS rn FROM docs)
+    sql["pack_requests"] = f"""WITH {DOCS}, r AS (SELECT id, text AS t, row_number() OVER (ORDER BY id) AS rn FROM docs)
 SELECT (rn - 1) // 10 AS pack, count(*) AS n, min(id) AS first_id, max(id) AS last_id,
   md5(string_agg('Item ' || ((rn - 1) % 10 + 1) || ':' || chr(10) || t, chr(10) || chr(10) ORDER BY rn)) AS body_md5 FROM r GROUP BY 1"""
     head = _prompt_head().replace("'", "''")
-    sql["request_prompts"] = f"""WITH p AS (SELECT doc_id AS id, '{head}' || substring(text, 1, 4000) AS body FROM documents)
+    sql["request_prompts"] = f"""WITH p AS (SELECT doc_id AS id, '{head}' || text AS body FROM documents)
 SELECT id, CAST(length(body) AS INTEGER) AS n_chars, md5(body) AS body_md5 FROM p"""
     sql["parse_replies"] = """SELECT event_id AS id, CASE WHEN event_id % 5 < 4 THEN event_id END AS reply_id,
   CASE WHEN event_id % 5 < 4 THEN event_type END AS dificuldade FROM events"""

@@ -112,7 +112,7 @@ def compose_statements(spark, sf_dir):
         lines,
         lambda line, i: F.struct(
             F.when(i % 3 == 1, "  ").otherwise(line).alias("input"),
-            F.when(i % 3 != 0, F.lit(None).cast("string")).otherwise(F.substring(line, 2, 30)).alias("output"),
+            F.when(i % 3 != 0, F.lit(None).cast("string")).otherwise(line).alias("output"),
         ),
     )
     text = compose_statement(
@@ -625,7 +625,7 @@ def concept_roundtrip(spark, sf_dir):
 def few_shot_sample(spark, sf_dir):
     chosen = folds.few_shot_sample(views.training(spark, sf_dir, 5), per_class=2)
     return chosen.select(
-        "id", "label", F.col("rank").cast("int").alias("rank"), F.substring("text", 1, 400).alias("example")
+        "id", "label", F.col("rank").cast("int").alias("rank"), F.col("text").alias("example")
     )
 
 
