@@ -19,12 +19,15 @@ def neighbours(
 ) -> DataFrame:
     """(query, rank, id, label, distance): the k nearest training rows.
 
-    ``queries``: id, features; ``training``: id, features, label. The labels are joined
-    to the k rows per query afterwards, so they never travel with the vectors.
+    ``queries``: id, features; ``training``: id, features, label, and ``source`` where ids
+    repeat across sources. The labels are joined to the k rows per query afterwards, by
+    source and id, so they never travel with the vectors.
     """
+    source = F.coalesce("source", F.lit("")) if "source" in training.columns else F.lit("")
+    known = training.withColumn("source", source)
     asked = as_queries(prepare(queries.withColumn("query", F.col("id")), ("query",)))
-    found = rank_candidates(asked, prepare(training.drop("source")), model.size, Rules(k=k))
-    return found.join(training.select("id", "label"), "id").select(
+    found = rank_candidates(asked, prepare(known), model.size, Rules(k=k))
+    return found.join(known.select("source", "id", "label"), ["source", "id"]).select(
         "query", "rank", "id", "label", (1 - F.col("score")).alias("distance")
     )
 

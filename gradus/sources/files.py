@@ -81,34 +81,68 @@ def parse_json_array(raw: Column, element: T.DataType) -> Column:
     )
 
 
-def read_judge(
-    spark: SparkSession, path: str | list[str], record: T.StructType = JUDGE_RECORD
-) -> DataFrame:
-    """Judge records in file order: the record's columns plus ``file`` and ``pos``.
-
-    A whole file is one value because a damaged array must be repaired before it is
-    parsed; files in JSON-lines layout need no repair and can use ``spark.read.json``.
-    """
+def _judge_files(spark: SparkSession, path: str | list[str], record: T.StructType) -> DataFrame:
+    """(file, records, reason): ``reason`` is NULL if every record of the file was read."""
     name = F.col("_metadata.file_name")
     files = (
         spark.read.option("pathGlobFilter", "*.json")
         .text(path, wholetext=True)
         .where(~name.startswith("feedbacks_") & ~name.startswith("._"))
-        .select(name.alias("file"), parse_json_array(F.col("value"), record).alias("records"))
+        .select(name.alias("file"), "value")
     )
-    return files.select("file", F.posexplode("records").alias("pos", "r")).select(
-        "file", "pos", "r.*"
+    whole = F.regexp_replace("value", r"\s+$", "")
+    # The length is NULL unless the text is one well-formed array.
+    length = F.coalesce(
+        F.when(whole.endswith("]"), F.json_array_length("value")),
+        F.json_array_length(repair_json_array(F.col("value"))),
     )
+    parsed = files.select(
+        "file", length.alias("length"), parse_json_array(F.col("value"), record).alias("records")
+    )
+    reason = F.when(F.col("length").isNull(), "no JSON array").when(
+        F.coalesce(F.size("records"), F.lit(-1)) != F.col("length"), "unreadable records"
+    )
+    return parsed.select("file", "records", reason.alias("reason"))
+
+
+def read_judge(
+    spark: SparkSession, path: str | list[str], record: T.StructType = JUDGE_RECORD
+) -> DataFrame:
+    """Judge records in file order: the record's columns plus ``file`` and ``pos``.
+
+    A whole file is one value because a damaged array must be repaired before it is
+    parsed; files in JSON-lines layout need no repair and can use ``read_judge_lines``.
+    A file that is no array even after the repair is an error that names it;
+    ``judge_rejects`` lists all such files. A file without a byte makes no row in Spark's
+    reader, so it is passed over.
+    """
+    files = _judge_files(spark, path, record)
+    fault = F.raise_error(F.concat_ws(": ", F.lit("damaged judge file"), "file", "reason"))
+    sound = F.when(F.col("reason").isNull(), F.col("records")).otherwise(fault)
+    return files.select("file", F.posexplode(sound).alias("pos", "r")).select("file", "pos", "r.*")
+
+
+def judge_rejects(
+    spark: SparkSession, path: str | list[str], record: T.StructType = JUDGE_RECORD
+) -> DataFrame:
+    """(file, reason) of the files that ``read_judge`` refuses."""
+    return _judge_files(spark, path, record).where("reason IS NOT NULL").select("file", "reason")
 
 
 def read_judge_lines(
     spark: SparkSession, path: str | list[str], record: T.StructType = JUDGE_RECORD
 ) -> DataFrame:
-    """The same columns from JSON lines, which Spark can split within a file."""
+    """The same columns from JSON lines, which Spark can split within a file.
+
+    ``pos`` orders the rows of a file however its parts are dealt to tasks: the offset of
+    the part in the file, then the order within the part.
+    """
+    pos = F.struct(
+        F.col("_metadata.file_block_start").alias("part"),
+        F.monotonically_increasing_id().alias("row"),
+    )
     return spark.read.json(path, schema=record).select(
-        F.col("_metadata.file_name").alias("file"),
-        F.monotonically_increasing_id().alias("pos"),
-        "*",
+        F.col("_metadata.file_name").alias("file"), pos.alias("pos"), "*"
     )
 
 

@@ -167,3 +167,18 @@ def test_vote_zero_distance_and_ties(spark):
     assert got == {
         (1, "uniform"): "a", (1, "distance"): "b", (2, "uniform"): "x", (2, "distance"): "x",
     }
+
+
+def test_neighbours_of_two_sources_sharing_an_id(spark):
+    docs = texts(spark, ["red apple tree", "blue river stone"] * 2)
+    model = vectors.fit_tfidf(docs)
+    features = model.transform(docs).select("id", "features")
+    low = F.col("id") < 2
+    known = features.where(low).select(
+        F.lit(7).cast("long").alias("id"), "features",
+        F.when(F.col("id") == 0, "a").otherwise("b").alias("source"),
+        F.when(F.col("id") == 0, "facil").otherwise("dificil").alias("label"),
+    )
+    near = knn.neighbours(features.where(~low), known, model, k=2).collect()
+    assert len(near) == 4
+    assert {r.query: r.label for r in near if r.rank == 1} == {2: "facil", 3: "dificil"}

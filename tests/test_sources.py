@@ -77,6 +77,40 @@ def test_judge_layout_damaged_array_first_row_wins(spark, tmp_path):
     assert plain[2] == "first"
 
 
+@pytest.mark.parametrize(
+    ("body", "reason"),
+    [
+        ("not json at all", "no JSON array"),
+        ('[{"ID": 1}, oops, {"ID": 3}]', "no JSON array"),
+        ('[{"ID": 1}, {"ID": 2, "Problem_Desc', "no JSON array"),
+        ("\n", "no JSON array"),
+        ('{"ID": 1}', "no JSON array"),
+    ],
+)
+def test_damaged_judge_file_is_named(spark, tmp_path, body, reason):
+    (tmp_path / "good.json").write_text('[{"ID": 1}, {"ID": 2},')
+    (tmp_path / "bad.json").write_text(body)
+    rejects = files.judge_rejects(spark, str(tmp_path)).collect()
+    assert [(r.file, r.reason) for r in rejects] == [("bad.json", reason)]
+    with pytest.raises(Exception, match="damaged judge file: bad.json"):
+        files.read_judge(spark, str(tmp_path)).collect()
+    rows = files.read_judge(spark, str(tmp_path / "good.json")).collect()
+    assert [(r.pos, r.ID) for r in rows] == [(0, 1), (1, 2)]
+
+
+def test_judge_lines_keep_file_order_across_splits(spark, tmp_path):
+    path = tmp_path / "judge.jsonl"
+    path.write_text("".join(json.dumps(judge_record(n, "Fácil", "x" * (n % 70))) + "\n" for n in range(400)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        lines = files.read_judge_lines(spark, str(path))
+        assert lines.select("pos.part").distinct().count() > 3
+        assert [r.ID for r in lines.orderBy("file", "pos").collect()] == list(range(400))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 @pytest.mark.parametrize(
     ("raw", "n"),
     [('[{"k": 1}]', 1), ('[{"k": 1},', 1), ('[{"k": 1}, {"k": 2}', 2), ("[]", 0)],
