@@ -168,7 +168,8 @@ def fit(
     known = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull())
     known = known.groupBy(F.col(id_column).alias("_id")).agg(F.max(label_column).cast("int").alias("label"))
     source = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("text"))
-    flagged = flagged_words(source.join(known, "_id").select("text", "label"), words)
+    # Labels grow with the documents: the same join at every size, none that fits small ones only.
+    flagged = flagged_words(source.join(known.hint("merge"), "_id").select("text", "label"), words)
     if not flagged:
         return Chain([], [])
     order = F.xxhash64("_id")
