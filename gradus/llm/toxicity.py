@@ -12,6 +12,7 @@ sample of labelled rows of bounded size (``rows``), with a bounded number of wor
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gradus.llm.arrow import extend, texts
 
@@ -40,12 +42,19 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def _word_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each document's different words, packed: about a quarter of its text's size."""
+    for batch in batches:
+        packed = [zlib.compress(" ".join(sorted(set(words_of(t)))).encode(), 1) for t in texts(batch, "text")]
+        yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(packed, pa.binary())], names=["_id", "words"])
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with each word, toxic and others, summed per batch."""
     for batch in batches:
         counts: dict[bool, Counter] = {True: Counter(), False: Counter()}
-        for text, label in zip(texts(batch, "text"), batch.column("label").to_pylist(), strict=True):
-            counts[bool(label)].update(set(words_of(text)))
+        for packed, label in zip(batch.column("words"), batch.column("label").to_pylist(), strict=True):
+            counts[bool(label)].update(zlib.decompress(packed.as_py()).decode().split())
         names = list(counts[True].keys() | counts[False].keys())
         yield pa.RecordBatch.from_arrays(
             [
@@ -61,15 +70,23 @@ def _xlogx(x: Column) -> Column:
     return F.when(x > 0, x * F.log(x)).otherwise(0.0)
 
 
-def flagged_words(labelled: DataFrame, words: int = WORDS) -> list[str]:
-    """The words that go most with the label, over all labelled documents (text, label)."""
-    totals = labelled.agg(
+def flagged_words(docs: DataFrame, known: DataFrame, words: int = WORDS) -> list[str]:
+    """The words that go most with the label, over all of ``docs`` (_id, text) that have one
+    in ``known`` (_id, label).
+
+    Labels grow with the documents, so the join is the same at every size and broadcasts
+    nothing. What it shuffles of a document are its packed words, not its text.
+    """
+    known = known.hint("merge")
+    totals = docs.select("_id").join(known, "_id").agg(
         F.sum(F.col("label").cast("long")).alias("toxic"), F.count(F.lit(1)).alias("n")
     ).first()
     if not totals.toxic or totals.toxic == totals.n:
         return []
     n, t = float(totals.n), float(totals.toxic)
-    counts = labelled.select("text", "label").mapInArrow(_word_counts, "word string, toxic long, other long")
+    schema = T.StructType([docs.schema["_id"], T.StructField("words", T.BinaryType())])
+    labelled = docs.mapInArrow(_word_sets, schema).join(known, "_id").select("words", "label")
+    counts = labelled.mapInArrow(_word_counts, "word string, toxic long, other long")
     a, b = F.sum("toxic"), F.sum("other")
     sums = counts.groupBy("word").agg(a.alias("a"), b.alias("b")).where("a >= 5")
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
@@ -167,9 +184,8 @@ def fit(
     """
     known = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull())
     known = known.groupBy(F.col(id_column).alias("_id")).agg(F.max(label_column).cast("int").alias("label"))
-    source = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("text"))
-    # Labels grow with the documents: the same join at every size, none that fits small ones only.
-    flagged = flagged_words(source.join(known.hint("merge"), "_id").select("text", "label"), words)
+    source = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("text")).where("_id IS NOT NULL")
+    flagged = flagged_words(source, known, words)
     if not flagged:
         return Chain([], [])
     order = F.xxhash64("_id")
