@@ -8,9 +8,11 @@ over Arrow batches (``tag_with``), to which the requests built here can be sent.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+from operator import and_
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradus.functions.folding import let
@@ -115,22 +117,50 @@ def match_replies(
     return requests.join(last, ["pack", "position"], "left").withColumn("retry", missing)
 
 
-def pending(items: DataFrame, cache: DataFrame, key: str = "id") -> DataFrame:
-    """Items whose id (as text) is not in the cache."""
-    done = cache.select(F.col(key).cast("string").alias("_done"))
-    return items.join(done, F.col(key).cast("string") == F.col("_done"), "left_anti")
+Key = str | Sequence[str] | None
 
 
-def latest(cache: DataFrame, key: str, order: str) -> DataFrame:
-    """The last cached row of each id."""
-    rows = Window.partitionBy(key).orderBy(F.desc(order))
-    return cache.withColumn("_rn", F.row_number().over(rows)).where("_rn = 1").drop("_rn")
+def key_columns(items: DataFrame, cache: DataFrame, key: Key = None) -> list[str]:
+    """The columns that identify an item.
 
+    By default (source, id), since ids repeat between sources; a cache (or items) without
+    a source is that of one source and goes by id.
+    """
+    if key is None:
+        return [c for c in ("source", "id") if c in items.columns and c in cache.columns]
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _as_text(keys: list[str]) -> list[Column]:
+    return [F.col(k).cast("string").alias(f"_{k}") for k in keys]
+
+
+def _same(keys: list[str]) -> Column:
+    return reduce(and_, [F.col(k).cast("string").eqNullSafe(F.col(f"_{k}")) for k in keys])
+
+
+def pending(items: DataFrame, cache: DataFrame, key: Key = None) -> DataFrame:
+    """Items whose key (as text) is not in the cache."""
+    keys = key_columns(items, cache, key)
+    return items.join(cache.select(*_as_text(keys)), _same(keys), "left_anti")
 
-def align(items: DataFrame, cache: DataFrame, value: str, order: str, key: str = "id") -> DataFrame:
+
+def latest(cache: DataFrame, value: str, order: str, keys: list[str]) -> DataFrame:
+    """The last cached ``value`` of each key, the keys as text under ``_<name>``.
+
+    Of several values with the same ``order`` the greatest counts, so a key that a batch
+    holds twice has one defined value.
+    """
+    last = F.max(F.struct(F.col(order).alias("order"), F.col(value).alias("value")))
+    found = cache.groupBy(*_as_text(keys)).agg(last.alias("_last"))
+    return found.select(*[f"_{k}" for k in keys], F.col("_last.value").alias(value))
+
+
+def align(items: DataFrame, cache: DataFrame, value: str, order: str, key: Key = None) -> DataFrame:
     """Items with their last cached ``value``; NULL where there is none."""
-    found = latest(cache, key, order).select(F.col(key).cast("string").alias("_key"), value)
-    return items.join(found, F.col(key).cast("string") == F.col("_key"), "left").drop("_key")
+    keys = key_columns(items, cache, key)
+    found = latest(cache, value, order, keys)
+    return items.join(found, _same(keys), "left").drop(*[f"_{k}" for k in keys])
 
 
 def concept_dictionary(ranked_words: DataFrame, limit: int = 10_000) -> dict[str, str]:
@@ -172,18 +202,25 @@ def classify_with_cache(
     path: str,
     classify: Callable[[DataFrame], DataFrame],
     schema: str,
-    key: str = "id",
+    key: Key = None,
     value: str = "pred",
 ) -> DataFrame:
     """Classify what the cache lacks, append it, return every item with its value.
 
-    ``classify`` maps (id, ...) rows to (id, value). Each call appends one batch, which
-    the commit protocol publishes whole; running again continues where it stopped.
+    ``classify`` maps rows of items to their key columns and ``value``. Each call appends
+    one batch, which the commit protocol publishes whole; running again continues where
+    it stopped. The key is that of ``key_columns``: with a source in ``schema`` and in the
+    items, one source's value is never given to another's item.
     """
     from gradus.sources.tables import publish, read_cache
 
     spark = items.sparkSession
-    todo = pending(items, read_cache(spark, path, schema), key)
+    cache = read_cache(spark, path, schema)
+    keys = key_columns(items, cache, key)
+    todo = pending(items, cache, keys)
     if not todo.isEmpty():
-        publish(classify(todo).withColumn("written", F.current_timestamp()), path)
-    return align(items, read_cache(spark, path, schema), value, "written", key)
+        made = classify(todo)
+        if absent := [k for k in keys if k not in made.columns]:
+            raise ValueError(f"classified rows lack key columns: {absent}")
+        publish(made.withColumn("written", F.current_timestamp()), path)
+    return align(items, read_cache(spark, path, schema), value, "written", keys)

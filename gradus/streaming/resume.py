@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from gradus.operators.tagging import pending
+from gradus.operators.tagging import Key, key_columns, pending
 from gradus.sources.tables import read_cache
 
 
@@ -21,12 +21,12 @@ def tag_stream(
     cache_schema: str,
     checkpoint: str,
     tag: Callable[[DataFrame], DataFrame],
-    key: str = "id",
+    key: Key = None,
     files_per_batch: int = 100,
 ) -> StreamingQuery:
     """Tag every item of a growing parquet folder that the cache lacks, then stop.
 
-    The checkpoint remembers which files were read; ids already cached are skipped, and
+    The checkpoint remembers which files were read; keys already cached are skipped, and
     each batch writes to its own folder with overwrite. So a batch that is run again
     after a failure replaces its half-finished self.
     """
@@ -36,7 +36,8 @@ def tag_stream(
         done = read_cache(batch.sparkSession, cache, cache_schema)
         if "batch" in done.columns:
             done = done.where(F.col("batch") != number)
-        todo = pending(batch.dropDuplicates([key]), done, key)
+        keys = key_columns(batch, done, key)
+        todo = pending(batch.dropDuplicates(keys), done, keys)
         tag(todo).withColumn("written", F.current_timestamp()).write.mode("overwrite").parquet(
             folder
         )

@@ -71,6 +71,32 @@ def test_resume_only_pending_items(spark, tmp_path):
     assert asked == [[0, 1, 2, 3], [4, 5]]
 
 
+def test_cache_is_kept_by_source(spark, tmp_path):
+    items = spark.createDataFrame([(1, "a"), (1, "b"), (2, None)], "id long, source string")
+    cache = str(tmp_path / "cache")
+    schema = "id long, source string, pred string, written timestamp"
+
+    def classify(todo):
+        return todo.select("id", "source", F.concat(F.lit("p"), F.coalesce("source", F.lit("-"))).alias("pred"))
+
+    tagging.classify_with_cache(items.where("source = 'a'"), cache, classify, schema)
+    got = tagging.classify_with_cache(items, cache, classify, schema).collect()
+    assert {(r.id, r.source, r.pred) for r in got} == {(1, "a", "pa"), (1, "b", "pb"), (2, None, "p-")}
+    with pytest.raises(ValueError, match="source"):
+        tagging.classify_with_cache(
+            items, str(tmp_path / "other"), lambda todo: todo.select("id", F.lit("x").alias("pred")), schema
+        )
+
+
+def test_a_key_cached_twice_has_one_value(spark):
+    items = spark.createDataFrame([(1, "a"), (2, "a")], "id long, source string")
+    cache = spark.createDataFrame(
+        [(1, "a", "new", 2), (1, "a", "old", 1), (1, "a", "even", 2), (1, "b", "zz", 3)],
+        "id long, source string, pred string, run int",
+    )
+    assert {r.id: r.pred for r in tagging.align(items, cache, "pred", "run").collect()} == {1: "new", 2: None}
+
+
 def test_tag_stream_resumes(spark, tmp_path):
     source, cache, state = (str(tmp_path / n) for n in ("in", "cache", "state"))
     schema = spark.createDataFrame([], "id long, text string").schema

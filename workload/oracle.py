@@ -556,6 +556,11 @@ a AS (SELECT *, CASE WHEN position % 3 = 0 THEN NULL WHEN position % 5 = 0 THEN
 SELECT pack, position, answer, coalesce(answer, '') = '' AS retry FROM a"""
     sql["pending_items"] = "SELECT doc_id AS id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
     sql["cached_predictions"] = f"WITH {LABEL_CACHE} SELECT * FROM aligned"
+    # Benchmark items have ids that documents have too; only documents are cached.
+    sql["pending_by_source"] = """SELECT doc_id AS id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+UNION ALL SELECT item_id, 'benchmark' FROM benchmark"""
+    sql["cached_by_source"] = f"""WITH {LABEL_CACHE} SELECT * FROM aligned
+UNION ALL SELECT item_id, 'benchmark', NULL FROM benchmark"""
     sql["cache_coverage"] = f"""WITH {LABEL_CACHE} SELECT count(*) AS total, count(pred) AS covered,
   count(*) - count(pred) AS missing FROM aligned"""
     return sql

@@ -724,6 +724,26 @@ def cache_coverage(spark, sf_dir):
     return metrics.coverage(tagging.align(items, _label_cache(spark, sf_dir), "pred", "run"))
 
 
+def _two_sources(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Documents and benchmark items, whose ids repeat, and a cache of the former alone."""
+    docs = views.questions(spark, sf_dir).select("id", "source")
+    asked = views.table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("id"), F.lit("benchmark").alias("source")
+    )
+    return docs.unionByName(asked), _label_cache(spark, sf_dir).join(docs, "id")
+
+
+@query
+def pending_by_source(spark, sf_dir):
+    return tagging.pending(*_two_sources(spark, sf_dir))
+
+
+@query
+def cached_by_source(spark, sf_dir):
+    items, cache = _two_sources(spark, sf_dir)
+    return tagging.align(items, cache, "pred", "run")
+
+
 # --- models (rows only: iterative solvers) ------------------------------------
 
 
