@@ -142,6 +142,19 @@ def test_toxicity_held_out(spark):
     assert not any(r.is_toxic for r in toxicity.predict(odd, chain).collect())
 
 
+def test_toxicity_copies_do_not_displace_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    # Copies of one labelled text with more words than a list of 256 holds.
+    text = " ".join("z" + chr(97 + i // 26) + chr(97 + i % 26) + "q" * (i % 7) for i in range(600))
+    copies = spark.range(10**9, 10**9 + 100).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    chain = toxicity.fit(docs.union(copies), labels.union(copies.select("doc_id", F.lit(1))))
+    judged = toxicity.predict(docs, chain).join(labels.where("toxic = 1"), "doc_id").collect()
+    words = set("scum idiot trash moron loser stupid clown worthless pathetic disgusting".split())
+    known = [r.is_toxic for r in judged if words & set(toxicity.words_of(r.text))]
+    assert known and sum(known) / len(known) > 0.9
+
+
 def test_decontamination_cases(spark):
     item = " ".join(f"i{k}" for k in range(20))
     bench = spark.createDataFrame([(1, item), (2, "Short item"), (3, None), (4, "!!"), (5, item)], "item_id long, text string")
