@@ -155,6 +155,23 @@ def test_toxicity_copies_do_not_displace_words(spark):
     assert known and sum(known) / len(known) > 0.9
 
 
+def test_toxicity_at_small_sizes(spark):
+    def recall(size: str) -> dict[str, float]:
+        docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet").select("doc_id", "text", "lang")
+        labels = spark.read.parquet(f"/root/testdata/{size}/labels.parquet")
+        judged = toxicity.predict(docs, toxicity.fit(docs, labels)).join(labels, "doc_id")
+        assert judged.where("is_toxic AND toxic = 0").count() == 0
+        hits = judged.where("toxic = 1").groupBy("lang").agg(F.avg(F.col("is_toxic").cast("int")).alias("share"))
+        return {r.lang: r.share for r in hits.collect()}
+
+    # 11 and 51 toxic rows.
+    assert recall("sf0.001")["en"] > 0.9
+    shares = recall("sf0.01")
+    assert shares["en"] > 0.9 and min(shares.values()) > 0.3
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    assert 0 < corpus_pipeline.drop_toxic(spark, docs, FOLDER).count() < docs.count()
+
+
 def test_decontamination_cases(spark):
     item = " ".join(f"i{k}" for k in range(20))
     bench = spark.createDataFrame([(1, item), (2, "Short item"), (3, None), (4, "!!"), (5, item)], "item_id long, text string")
