@@ -5,9 +5,9 @@ length, the punctuation and the share of text outside links are summed over its
 block's score fuses the three ratios of its path, is smoothed over its neighbours in page
 order, and a threshold on the smoothed scores selects the content blocks. Paths through
 elements that never hold an article (menus, forms, scripts, comments, adverts ...) score
-nothing. The innermost container that holds most of the score is the article: ``article``
-and ``main`` elements come first and count whole; on a page without them any container may
-be it, and gives its selected blocks and the headings between them.
+nothing. The innermost container that holds most of the selected score is the article, with
+all its other blocks. Where the way to it passes ``article`` or ``main`` elements, it is the
+innermost of those.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 
 from gradus.llm.arrow import extend, texts
 
-#: A block is content from this share of the page's standard deviation on; a container is
-#: the article if it holds this share of the selected score.
+#: A block votes for its containers from this share of the page's standard deviation on; a
+#: container may be the article if it holds this share of the votes.
 THRESHOLD, SHARE = 0.5, 0.7
 #: Weights of a block's neighbours in page order, nearest first.
 SMOOTHING = (1.0, 0.5, 0.25)
@@ -43,7 +43,8 @@ _INLINE = frozenset(
 )
 _CONTAINERS = frozenset("body article main section div td center".split())
 _DECLARED = frozenset(("article", "main"))
-_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# What a head may hold; any other element ends an open one.
+_METADATA = frozenset("base link meta noscript script style template title".split())
 # Elements that never hold the article, and words that say so in a class, id or role.
 _NEVER = frozenset("head nav header footer aside form button dialog menu option".split())
 _NEVER_WORDS = frozenset(
@@ -129,6 +130,11 @@ def blocks_of(page: str) -> list[Block]:
                 if tag in _INLINE and open_tags[at][0] not in _INLINE:
                     break
         elif tag not in _VOID:
+            if tag == "body" or open_tags and open_tags[-1][0] == "head" and tag not in _METADATA:
+                for at in range(len(open_tags) - 1, -1, -1):
+                    if open_tags[at][0] == "head":
+                        close(at)
+                        break
             if tag not in _INLINE:
                 ends = _SIBLINGS.get(tag, ())
                 for at in range(len(open_tags) - 1, -1, -1):
@@ -182,25 +188,32 @@ def main_text(page: str) -> str:
     mean = sum(scores) / len(scores)
     deviation = (sum((s - mean) ** 2 for s in scores) / len(scores)) ** 0.5
     limit = min(THRESHOLD * deviation, max(scores))
-    selected = [s >= limit for s in scores]
 
-    # An article or main element with text is where the page itself says the article is.
-    whole = any(block.declared for block in blocks)
+    # Selected blocks vote for each container around them.
     weight: dict[int, float] = {}
-    for block, score, chosen in zip(blocks, scores, selected, strict=True):
-        for number in block.declared if whole else block.containers if chosen else ():
-            weight[number] = weight.get(number, 0.0) + score
-    total = sum(s for s, chosen in zip(scores, selected, strict=True) if chosen)
-    limit = SHARE * (max(weight.values()) if whole else total)
-    # Numbers grow inwards along a chain of containers.
-    root = max((n for n, w in weight.items() if w >= limit), default=0)
-    within = [not root or root in block.containers for block in blocks]
-    kept = [
-        block.text
-        for block, chosen, w in zip(blocks, selected, within, strict=True)
-        if w and (whole or chosen or block.path and block.path[-1] in _HEADINGS)
-    ]
-    return "\n".join(kept)
+    inside: dict[int, list[int]] = {}
+    total = 0.0
+    for block, score in zip(blocks, scores, strict=True):
+        if score >= limit:
+            total += score
+            above = 0
+            for number in block.containers:
+                if number not in weight:
+                    weight[number] = 0.0
+                    inside.setdefault(above, []).append(number)
+                weight[number] += score
+                above = number
+    # Inwards from the page, while the heaviest of siblings holds most of the score. The parts
+    # of an article or main element on the way are the article's own, so it stays whole.
+    declared = {number for block in blocks for number in block.declared}
+    way = [0]
+    while way[-1] in inside:
+        heaviest = max(inside[way[-1]], key=weight.__getitem__)
+        if weight[heaviest] < SHARE * total:
+            break
+        way.append(heaviest)
+    root = max(declared.intersection(way), default=way[-1])
+    return "\n".join(block.text for block in blocks if not root or root in block.containers)
 
 
 def extract(df: DataFrame, html_column: str = "html") -> DataFrame:

@@ -117,6 +117,28 @@ def test_html():
     assert html_extraction.main_text("") == "" and html_extraction.main_text("a &amp; b") == "a & b"
 
 
+def test_html_container_by_scores():
+    long = "Words, and words, and more words; they go on, and on, until the end of the line."
+    many = "".join(f"<p>{k} {long}</p>" for k in range(6))
+    lines = [f"{k} {long}" for k in range(6)]
+    # Short blocks after long ones stay, without article or main.
+    listed = f"<body><div>menu</div><div id=content><h1>T</h1>{many}<ul><li>one<li>two</ul><p>End</div>"
+    assert html_extraction.main_text(listed).split("\n") == ["T", *lines, "one", "two", "End"]
+    # A lighter second article does not replace the first.
+    second = "".join(f"<p>second {k} {long}</p>" for k in range(5))
+    two = html_extraction.main_text(f"<body><article>{many}</article><article>{second}</article>").split("\n")
+    assert two == [*lines, *(f"second {k} {long}" for k in range(5))]
+    # Nor does an article element that holds next to nothing; sections of one are all kept.
+    aside = f"<body><article><p>Teaser</p></article><div>{many}</div>"
+    assert html_extraction.main_text(aside).split("\n")[-6:] == lines
+    parts = f"<body><article><section>{many}</section><section><p>Short end</p></section></article>"
+    assert html_extraction.main_text(parts).split("\n") == [*lines, "Short end"]
+    # A head that nothing closes ends where the body begins, marked or not.
+    for opened in ("<body>", ""):
+        page = f"<html><head><meta charset=utf-8><title>t</title>{opened}<div>{many}</div>"
+        assert html_extraction.main_text(page).split("\n") == lines
+
+
 def test_html_query_gives_articles(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{FOLDER}/pages.parquet").collect()}
     import html
