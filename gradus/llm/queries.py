@@ -13,10 +13,13 @@ from gradus.llm import (
     bpe,
     chat,
     html_extraction,
+    orchard,
     order_minhash,
     pii,
     sharding,
     superminhash,
+    tile_join,
+    tokenizer_pairs,
     toxicity,
     url_filter,
     wu_manber,
@@ -241,3 +244,55 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     chain = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
     return toxicity.predict(docs, chain).drop("text")
+
+
+A_TOKENIZER, B_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+@_query
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokenizer_pairs.align(docs, public_tokenizers.path(A_TOKENIZER), public_tokenizers.path(B_TOKENIZER))
+
+
+@_query
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def _op12_sql(k: int = 8, rounds: int = 10) -> str:
+    """Every round as two steps: each vector's nearest centroid, then the new centroids."""
+    steps = [
+        """kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id,
+  list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS c, v AS m FROM (
+  SELECT sha256('3:' || vec_id) AS h, v FROM kept) ORDER BY h NULLS LAST, v LIMIT {k})""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (SELECT r, min(s).c AS c, min(s).d AS d FROM (
+  SELECT r, struct_pack(d := CAST(list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT),
+    c := c) AS s FROM kept, c{i}) GROUP BY r)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""c{i + 1} AS MATERIALIZED (SELECT c{i}.c, coalesce(n.m, c{i}.m) AS m FROM c{i} LEFT JOIN (
+  SELECT c, list(CAST((s - (s % n + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM (
+    SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+      SELECT c, unnest(v) AS x, unnest(range(64)) AS i FROM kept JOIN a{i} USING (r)) GROUP BY c, i) GROUP BY c) n
+  ON n.c = c{i}.c)"""
+            )
+    return f"""WITH {', '.join(steps)}
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, a.d AS distance,
+  CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(f.m, ',')) AS centroid_sha256
+FROM kept JOIN a{rounds} a USING (r) JOIN c{rounds} f ON f.c = a.c"""
+
+
+ORACLES["op12_centroid_clustering"] = _op12_sql()
+
+
+@_query
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tile_join.join_alike(_table(spark, sf_dir, "documents"))
