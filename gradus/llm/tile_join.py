@@ -3,7 +3,7 @@
 Two sets x, y with |x & y| * 100 >= percent * |x | y| differ in size by that share at most, and
 share a shingle among the first |x| - ceil(percent * |x| / 100) + 1 of each, in any one order
 of all shingles. The order here is rare shingles first, so passages that many documents hold
-bring nobody together; how frequent a shingle is, is read off a table of 2**20 counters that
+bring nobody together; how frequent a shingle is, is read off a table of 2**21 counters that
 all documents fill, so its size is fixed.
 
 Documents with equal sets are one class with one representative. The representatives that
@@ -16,8 +16,10 @@ share a prefix shingle make a bucket:
    The bucket's largest component has tiles of its own, which never meet each other, so a
    great group of near copies costs its outsiders times its size, not its square.
 
-Every set has a bitmap of 512 bits, each the parity of the shingles hashed to it. The bits in
-which two bitmaps differ are at most the shingles in which the sets differ, so
+Every set has a bitmap of about as many bits as shingles, each the parity of the shingles
+hashed to it. A bitmap is folded to half its width by parity again, so two of different
+widths compare. The bits in which two bitmaps differ are at most the shingles in which the
+sets differ, so
 
     |x & y| <= (|x| + |y| - bits) / 2
 
@@ -41,8 +43,8 @@ from gradus.llm.shingles import mix, overlap, shingle_sets
 from gradus.llm.staging import Stage
 
 #: Counters of shingles, and the parts they are added up in.
-CELLS, CHUNKS = 1 << 20, 64
-#: Bits of a bitmap.
+CELLS, CHUNKS = 1 << 21, 128
+#: Bits of a bitmap at least; beyond, the power of two from the set's size on.
 BITS = 512
 #: Members of a tile, and shingles in their sets together, at most (one member at least).
 TILE, TILE_SHINGLES = 1024, 1 << 21
@@ -64,8 +66,7 @@ def _counters(source: DataFrame, width: int) -> np.ndarray:
         for batch in batches:
             values = [t.encode() for t in texts(batch, "body")]
             for start, end in pieces(values):
-                parts = shingle_sets(values[start:end], width)
-                cells += np.bincount(_cells(np.concatenate(parts)), minlength=CELLS)
+                np.add.at(cells, _cells(np.concatenate(shingle_sets(values[start:end], width))), 1)
         if cells.any():
             yield _chunks(cells)
 
@@ -84,7 +85,7 @@ def _counters(source: DataFrame, width: int) -> np.ndarray:
 
     fields = "chunk int, cells binary"
     parts = source.select("body").mapInArrow(count, fields)
-    # CHUNKS rows, of 8 MB together at most.
+    # CHUNKS rows, of 16 MB together at most.
     rows = parts.repartition(CHUNKS, "chunk").mapInArrow(add, fields).collect()
     found = np.zeros((CHUNKS, CELLS // CHUNKS), dtype=np.int64)
     for r in rows:
@@ -109,14 +110,27 @@ def _chunks(cells: np.ndarray) -> pa.RecordBatch:
 
 
 def _cells(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(44)).astype(np.int64)
+    return (shingles >> np.uint64(43)).astype(np.int64)
 
 
-def bitmap(shingles: np.ndarray) -> np.ndarray:
-    """The parities of the shingles in each of BITS places, as 64-bit numbers."""
-    places = (mix(shingles ^ _GOLD) % np.uint64(BITS)).astype(np.int64)
-    odd = np.bincount(places, minlength=BITS) & 1
-    return np.packbits(odd.astype(bool)).view(np.int64)
+def bitmap(shingles: np.ndarray) -> bytes:
+    """The parities of the shingles in each of its places."""
+    places = max(BITS, 1 << (len(shingles) - 1).bit_length()) if len(shingles) else BITS
+    at = (mix(shingles ^ _GOLD) & np.uint64(places - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=places) & 1).astype(bool)).tobytes()
+
+
+def _folded(packed: bytes, width: int) -> np.ndarray:
+    """The bitmap in ``width`` bytes, as 64-bit numbers."""
+    bits = np.frombuffer(packed, np.uint64)
+    while bits.nbytes > width:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
+def _may_be_alike(differ: np.ndarray, both: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the overlap can be enough, by the differing bits and the sizes added up."""
+    return (100 + percent) * ((both - differ) >> 1) >= percent * both
 
 
 def prefix(shingles: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
@@ -145,15 +159,6 @@ def _sizes_fit(x: str, y: str, percent: int) -> Column:
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
-def _bound_fits(x: str, y: str, bits_x: str, bits_y: str, percent: int) -> Column:
-    """Whether the bitmaps' upper bound of the overlap is enough."""
-    differ = F.aggregate(
-        F.zip_with(bits_x, bits_y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, n: s + n
-    )
-    most = F.shiftright(F.col(x) + F.col(y) - differ, 1)
-    return (100 + percent) * most >= percent * (F.col(x) + F.col(y))
-
-
 def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     common = overlap(x, y)
     return 100 * common >= percent * (len(x) + len(y) - common)
@@ -168,6 +173,24 @@ def _with_hub(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     return salted.join(facts, "id").join(hubs, ["hub", "salt"]).drop("salt")
 
 
+def _bounded(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (hub, id) that sizes and bitmaps let through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            differ = np.empty(batch.num_rows, dtype=np.int64)
+            for i, (x, y) in enumerate(zip(batch.column("bits"), batch.column("hub_bits"), strict=True)):
+                x, y = x.as_py(), y.as_py()
+                width = min(len(x), len(y))
+                differ[i] = np.bitwise_count(_folded(x, width) ^ _folded(y, width)).sum(dtype=np.int64)
+            both = batch.column("n").to_numpy() + batch.column("hub_n").to_numpy()
+            keep = _may_be_alike(differ, both, percent)
+            yield batch.select(["hub", "id"]).filter(pa.array(keep, pa.bool_()))
+
+    both = _with_hub(pairs, bits).where(_sizes_fit("n", "hub_n", percent))
+    return both.select("hub", "id", "n", "hub_n", "bits", "hub_bits").mapInArrow(run, "hub long, id long")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (hub, id) whose sets are alike enough."""
 
@@ -220,8 +243,10 @@ class _Meeting:
     def __init__(self, table: pa.Table, percent: int):
         self.percent = percent
         self.ids, self.sizes, self.comp = (table.column(c).to_numpy() for c in ("id", "n", "comp"))
-        bits = table.column("bits").combine_chunks()
-        self.bits = bits.flatten().to_numpy().reshape(len(self.ids), -1).view(np.uint64)
+        # Sizes of neighbouring bands, so widths differ by a factor of two at most.
+        bits = table.column("bits").to_pylist()
+        width = min(map(len, bits))
+        self.bits = np.stack([_folded(b, width) for b in bits])
         self.first, self.second = (np.flatnonzero(table.column(c).to_numpy()) for c in ("first", "second"))
         self.alone = bool(np.isin(self.first, self.second).any())
 
@@ -231,30 +256,55 @@ class _Meeting:
             others = self.second[self.comp[self.second] != self.comp[i]]
             if self.alone:
                 others = others[others > i]
-            both = self.sizes[others] + self.sizes[i]
             differ = np.bitwise_count(self.bits[others] ^ self.bits[i]).sum(axis=1, dtype=np.int64)
-            others = others[(100 + self.percent) * ((both - differ) >> 1) >= self.percent * both]
+            others = others[_may_be_alike(differ, self.sizes[others] + self.sizes[i], self.percent)]
             if len(others):
                 yield i, others
 
 
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each meeting, which lie side by side; no more than one meeting is held."""
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([held, table]) if held is not None else table
+        if not len(table):
+            continue
+        new = np.zeros(len(table), dtype=bool)
+        for column in _PAIR:
+            values = table.column(column).to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        cuts = [0, *np.flatnonzero(new).tolist()]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            yield table.slice(start, end - start)
+        held = table.slice(cuts[-1])
+    if held is not None and len(held):
+        yield held
+
+
+def _side_by_side(met: DataFrame) -> DataFrame:
+    return met.repartition(*_PAIR).sortWithinPartitions(*_PAIR)
+
+
 def _open(met: DataFrame, percent: int) -> DataFrame:
     """The rows of ``met`` that take part in a pair the bitmaps let through."""
 
-    def run(table: pa.Table) -> pa.Table:
-        keep = np.zeros(len(table), dtype=bool)
-        for i, others in _Meeting(table, percent).pairs():
-            keep[i] = True
-            keep[others] = True
-        return table.filter(pa.array(keep))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _one_by_one(batches):
+            keep = np.zeros(len(table), dtype=bool)
+            for i, others in _Meeting(table, percent).pairs():
+                keep[i] = True
+                keep[others] = True
+            if keep.any():
+                yield from table.filter(pa.array(keep)).combine_chunks().to_batches()
 
-    return met.groupBy(*_PAIR).applyInArrow(run, met.schema)
+    return _side_by_side(met).mapInArrow(run, met.schema)
 
 
 def _linked(met: DataFrame, percent: int) -> DataFrame:
     """Links (hub, id) between components: no more than join those of each meeting."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def links(table: pa.Table) -> list[tuple[int, int]]:
         meeting = _Meeting(table, percent)
         sets = [np.frombuffer(s.as_py(), np.uint64) for s in table.column("shingles")]
         above: dict[int, int] = {}
@@ -265,16 +315,22 @@ def _linked(met: DataFrame, percent: int) -> DataFrame:
                 x = up
             return x
 
-        found: list[tuple[int, int]] = []
+        found = []
         for i, others in meeting.pairs():
             for o in others.tolist():
                 x, y = root(int(meeting.comp[i])), root(int(meeting.comp[o]))
                 if x != y and _alike(sets[i], sets[o], percent):
                     above[x] = y
                     found.append((int(meeting.ids[i]), int(meeting.ids[o])))
-        return pa.table([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["hub", "id"])
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _one_by_one(batches):
+            if found := links(table):
+                ends = [pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays(ends, names=["hub", "id"])
 
-    return met.groupBy(*_PAIR).applyInArrow(run, "hub long, id long")
+    return _side_by_side(met).mapInArrow(run, "hub long, id long")
 
 
 def join_alike(
@@ -300,33 +356,35 @@ def join_alike(
     stage = Stage(df.sparkSession)
     source = df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("body"))
     levels = _counters(source, shingle_words)
-    fields = "n long, d1 long, d2 long, bits array<long>, prefix array<long>"
+    fields = "n long, d1 long, d2 long, bits binary, prefix array<long>"
     made = extend(source, fields, _describe(shingle_words, percent, levels)).drop("body")
     facts = stage.write(made)
     equal = ["d1", "d2", "n"]
-    slim = facts.select("id", *equal)
+    slim = stage.write(facts.select("id", *equal))
     nodes = slim.where("id IS NOT NULL AND n > 0")
     classes = stage.write(nodes.groupBy(*equal).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("rows")))
     reps = facts.join(classes.withColumnRenamed("rep", "id"), ["id", *equal], "left_semi")
     reps = reps.groupBy("id", *equal).agg(F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
     reps = stage.write(reps.select("id", "n", "bits", "prefix"))
+    stage.drop(facts)
 
-    entries = reps.select("id", "n", F.explode("prefix").alias("key"))
-    end = F.struct("id", "n")
+    entries = reps.select(F.explode("prefix").alias("key"), "id", "n")
     shared = entries.groupBy("key").agg(
-        F.min(end).alias("low"), F.max(end).alias("high"), F.count(F.lit(1)).alias("members")
+        F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("members")
     )
-    placed = stage.write(entries.join(shared.where("low.id < high.id"), "key"))
-    everyone = placed.select("id").distinct()
-    near = source.where("id IS NOT NULL").join(everyone, "id", "left_semi").distinct()
-    sets = stage.write(extend(near, "shingles binary", _shingles(shingle_words)).select("id", "shingles"))
-    bits = stage.write(reps.select("id", "n", "bits").join(everyone, "id", "left_semi"))
-
-    ends = F.explode(F.array("low", "high")).alias("hub")
-    pairs = placed.select("id", "n", ends).where(_sizes_fit("n", "hub.n", percent))
-    pairs = pairs.select(F.col("hub.id").alias("hub"), "id").where("hub <> id").distinct()
-    likely = _with_hub(pairs, bits).where(_bound_fits("n", "hub_n", "bits", "hub_bits", percent))
-    links = stage.write(_confirmed(likely.select("hub", "id"), sets, percent))
+    placed = stage.write(entries.join(shared.where("low < high"), "key"))
+    bits = stage.write(reps.select("id", "n", "bits").join(placed.select("id").distinct(), "id", "left_semi"))
+    stage.drop(reps)
+
+    def sets_of(some: DataFrame) -> DataFrame:
+        wanted = source.where("id IS NOT NULL").join(some, "id", "left_semi").distinct()
+        return stage.write(extend(wanted, "shingles binary", _shingles(shingle_words)).select("id", "shingles"))
+
+    pairs = placed.select(F.explode(F.array("low", "high")).alias("hub"), "id").where("hub <> id").distinct()
+    likely = stage.write(_bounded(pairs, bits, percent))
+    sets = sets_of(likely.select("id").union(likely.select("hub")).distinct())
+    links = stage.write(_confirmed(likely, sets, percent))
+    stage.drop(sets)
 
     # Of three members every pair has met an end.
     found = components(links, stage)
@@ -339,8 +397,9 @@ def join_alike(
     # Alike sizes lie in one band or in neighbouring ones; the base is a little above their ratio.
     band = F.floor(F.log("n") / float(np.log(100 / percent * 1.008))) if percent < 100 else F.col("n")
     live = live.select("key", "id", "n", "comp", (F.col("comp") == F.col("top")).alias("core"), band.cast("int").alias("band"))
-    met = _tile_pairs(stage.write(live)).join(bits.select("id", "n", "bits"), ["id", "n"])
+    met = _tile_pairs(stage.write(live)).join(bits, ["id", "n"])
     met = stage.write(_open(met, percent))
+    sets = sets_of(met.select("id").distinct())
     links = links.union(stage.write(_linked(met.join(sets, "id"), percent)))
 
     # Rows that share an id but not a set join the classes of their sets.
