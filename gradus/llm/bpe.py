@@ -31,8 +31,11 @@ from pyspark.sql import DataFrame
 
 from gradus.llm.arrow import extend, texts
 
-#: Transitions, pairs and pieces remembered by one worker; beyond, it starts anew.
-TRANSITIONS, PAIRS, PIECES = 250_000, 250_000, 500_000
+#: Transitions remembered by one worker; beyond, they are made anew.
+TRANSITIONS = 300_000
+#: Pairs and pieces remembered, in each of two generations: what is used again moves to the
+#: younger one, the rest goes when that is full.
+PAIRS, PIECES = 80_000, 250_000
 #: Tokens that a decoding step takes.
 STEP = 4096
 
@@ -40,6 +43,8 @@ STEP = 4096
 # it (0: none), as node << 24 | token + 1. A step: the next state, then for each of its paths
 # the path it goes on from and the token it ends (0: none), as token + 1 << 8 | path.
 _BITS, _LOW = 24, (1 << 24) - 1
+# While a step is made, a path and its code are one number: path << 32 | code.
+_CODE, _LAST = 32, (1 << 32) - 1
 _NEVER = 1 << 62
 
 
@@ -49,8 +54,11 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {rank: value for value, rank in ranks.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.children: list[dict[int, int]] = [{}]
+        self.pairs: dict[int, bool] = {}
+        self.older_pairs: dict[int, bool] = {}
+        # The trie of the tokens: node << 8 | byte to the next node; whether it goes on; its token.
+        self.edges: dict[int, int] = {}
+        self.inner = bytearray(1)
         self.accepts: list[int] = [-1]
         # Of a token, the parts that stand at its start and at its end while it is merged.
         self.heads: dict[int, tuple[int, ...]] = {}
@@ -70,10 +78,11 @@ class Transducer:
     def _insert(self, value: bytes, rank: int) -> None:
         node = 0
         for byte in value:
-            after = self.children[node].get(byte)
+            after = self.edges.get(node << 8 | byte)
             if after is None:
-                after = self.children[node][byte] = len(self.children)
-                self.children.append({})
+                after = self.edges[node << 8 | byte] = len(self.accepts)
+                self.inner[node] = 1
+                self.inner.append(0)
                 self.accepts.append(-1)
             node = after
         self.accepts[node] = rank
@@ -107,54 +116,61 @@ class Transducer:
         meet; merges come in the order of ranks, so the two stay apart unless what meets
         makes a token that comes before the next merge on either side (left of an equal one).
         """
-        if before < 0:
-            return True
-        known = self.pairs.get((before, after))
-        if known is not None:
-            return known
+        pair = before << _BITS | after
+        known = self.older_pairs.get(pair)
+        if known is None:
+            known = self._apart(before, after)
         if len(self.pairs) >= PAIRS:
-            self.pairs.clear()
+            self.older_pairs, self.pairs = self.pairs, {}
+        self.pairs[pair] = known
+        return known
+
+    def _apart(self, before: int, after: int) -> bool:
         tails, heads = self.tails[before], self.heads[after]
+        rank, token = self.ranks.get, self.token
         i = j = 0
-        apart = True
         while True:
             left = tails[i + 1] if i + 1 < len(tails) else _NEVER
             right = heads[j + 1] if j + 1 < len(heads) else _NEVER
-            across = self.ranks.get(self.token[tails[i]] + self.token[heads[j]], _NEVER)
+            across = rank(token[tails[i]] + token[heads[j]], _NEVER)
             if across < left and across <= right and across < _NEVER:
-                apart = False
-                break
+                return False
             if left == right == _NEVER:
-                break
+                return True
             if left <= right:
                 i += 1
             else:
                 j += 1
-        self.pairs[before, after] = apart
-        return apart
 
     def _move(self, state: int, byte: int) -> tuple[int, ...]:
         """One step, made when it is first needed."""
-        made: dict[int, int] = {}
+        made: list[int] = []
+        edge, pair = self.edges.get, self.pairs.get
         for origin, path in enumerate(self.states[state]):
-            after = self.children[path >> _BITS].get(byte)
+            after = edge(path >> _BITS << 8 | byte)
             if after is None:
                 continue
-            before = (path & _LOW) - 1
-            if self.children[after]:
-                made[after << _BITS | before + 1] = origin
+            before = path & _LOW
+            if self.inner[after]:
+                made.append((after << _BITS | before) << _CODE | origin)
             token = self.accepts[after]
-            if token >= 0 and self._follows(before, token):
-                made[token + 1] = token + 1 << 8 | origin
+            if token >= 0:
+                apart = not before or pair(before - 1 << _BITS | token)
+                if apart is None:
+                    apart = self._follows(before - 1, token)
+                if apart:
+                    made.append(token + 1 << _CODE | token + 1 << 8 | origin)
         if not made:
             raise ValueError("the vocabulary lacks a byte")
         # The path that is at the root, if there is one, comes first.
-        paths = tuple(sorted(made))
+        if len(made) > 1:
+            made.sort()
+        paths = tuple([m >> _CODE for m in made])
         number = self.numbers.get(paths)
         if number is None:
             number = self.numbers[paths] = len(self.states)
             self.states.append(paths)
-        step = self.moves[state << 8 | byte] = (number, *[made[p] for p in paths])
+        step = self.moves[state << 8 | byte] = (number, *[m & _LAST for m in made])
         return step
 
     def encode(self, piece: bytes) -> list[int]:
@@ -168,14 +184,18 @@ class Transducer:
         state, known = 0, self.moves.get
         for byte in piece:
             step = known(state << 8 | byte) or self._move(state, byte)
-            steps.append(step)
             state = step[0]
-            if len(step) == 2:  # one path is left: all before it is certain
+            if len(step) > 2:
+                steps.append(step)
+            elif steps:  # one path is left: all before it is certain
+                steps.append(step)
                 out += _told(steps, 0)
                 steps.clear()
+            elif step[1] > 255:
+                out.append((step[1] >> 8) - 1)
         if self.states[state][0] > _LOW:
             raise ValueError("the vocabulary lacks a byte")
-        return out + _told(steps, 0)
+        return out + _told(steps, 0) if steps else out
 
 
 def _told(steps: list[tuple[int, ...]], path: int) -> list[int]:
@@ -195,15 +215,19 @@ class _Pieces(dict):
 
     def __init__(self, transducer: Transducer):
         super().__init__()
-        self.transducer = transducer
+        self.encode = transducer.encode
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = array("I", self.transducer.encode(piece.encode()))
+        value = self.older.get(piece)
+        if value is None:
+            value = array("I", self.encode(piece.encode())).tobytes()
+            if len(piece) > 64:
+                return value
         if len(self) >= PIECES:
+            self.older = dict(self)
             self.clear()
-        value = ids.tobytes()
-        if len(piece) <= 64:
-            self[piece] = value
+        self[piece] = value
         return value
 
 
@@ -218,8 +242,9 @@ class Codec:
         with open(path, "rb") as lines:
             pairs = (line.split() for line in lines if line.strip())
             ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        self.pieces = _Pieces(Transducer(ranks))
-        self.token = self.pieces.transducer.token
+        transducer = Transducer(ranks)
+        self.token = transducer.token
+        self.pieces = _Pieces(transducer)
         # \s would also take the separators U+001C to U+001F.
         spaced = pattern.replace(r"[^\s", rf"[^{_SPACE}").replace(r"\S", rf"[^{_SPACE}]")
         self.split = regex.compile(spaced.replace(r"\s", f"[{_SPACE}]"), regex.V0).findall
