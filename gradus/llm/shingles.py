@@ -18,11 +18,11 @@ _powers: dict[int, np.ndarray] = {}
 def _power(base: np.uint64, n: int) -> np.ndarray:
     found = _powers.get(int(base))
     if found is None or len(found) < n:
-        room = max(n, 1 << 21)
+        room = max(n, 1 << 20)
         found = np.full(room, base, dtype=np.uint64)
         found[0] = 1
         np.multiply.accumulate(found, out=found)
-        if n > 1 << 22:
+        if n > 1 << 21:
             return found  # not kept: a single very long text
         _powers[int(base)] = found
     return found[:n]

@@ -61,19 +61,17 @@ def _word_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(packed, pa.binary())], names=["_id", "words"])
 
 
-@lru_cache(1 << 17)
-def _places(word: str) -> tuple[int, ...]:
-    """Places of a word and its beginnings, which differ from whole words by a final sign."""
+@lru_cache(1 << 16)
+def _places(word: str) -> bytes:
+    """Places of a word and its beginnings, which differ from whole words by a final sign:
+    packed, so that what a worker remembers stays small."""
     forms = [word, *(word[:n] + "-" for n in BEGINNINGS if len(word) > n)]
-    return tuple(zlib.crc32(form.encode()) % SPACE for form in forms)
+    return b"".join([(zlib.crc32(form.encode()) % SPACE).to_bytes(4, "little") for form in forms])
 
 
 def places_of(words: Iterable[str]) -> np.ndarray:
     """Places of a document's words, each once, in order."""
-    found: set[int] = set()
-    for word in words:
-        found.update(_places(word))
-    return np.sort(np.fromiter(found, np.int32, len(found)))
+    return np.unique(np.frombuffer(b"".join(map(_places, words)), np.int32))
 
 
 def _unpacked(packed: bytes) -> list[str]:
@@ -292,7 +290,12 @@ def fit(
         stage.drop(sets)
         return Chain(np.zeros(SPACE), [])
     odds, errors = log_odds(toxic[:SPACE], other[:SPACE], t, o)
-    taken = sets.orderBy(F.xxhash64("words"), "words", "label").limit(rows).toArrow()
+    # The smallest hashes are below a share that the number of sets gives; so what is sorted
+    # is bounded as well, not only what is taken.
+    share = min(1.0, (1.2 * rows + 100) / (t + o))
+    drawn = F.xxhash64("words")
+    low = sets.where(drawn < F.lit(int(-(2**63) + share * (2**64 - 1025))))
+    taken = low.orderBy(drawn, "words", "label").limit(rows).toArrow()
     stage.drop(sets)
     places = [places_of(_unpacked(packed.as_py())) for packed in taken["words"]]
     return fit_chain(odds, errors, places, taken["label"].to_pylist())
