@@ -26,9 +26,11 @@ from __future__ import annotations
 import heapq
 import os
 import re
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +49,7 @@ BATCH_BYTES, BATCH_TEXTS = 8 << 20, 1 << 16
 #: Packed bytes of runs that one task merges at once, and results merged at once after that.
 SLICE_BYTES, FAN = 32 << 20, 64
 #: Words remembered by one worker, in each of two generations, and the longest of them.
-WORDS, LONGEST = 60_000, 64
+WORDS, LONGEST = 100_000, 64
 
 _PARTS = re.compile(r"(?<=\S)(?= [\s\S])").split
 _SHIFT = np.uint64(32)
@@ -84,64 +86,102 @@ class Words:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         letters = _byte_letters()
-        self.a_bytes = {
-            i: bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
-            for token, i in self.a.get_vocab().items()
-        }
+        self.a_bytes = [b""] * self.a.get_vocab_size()
+        for token, i in self.a.get_vocab().items():
+            known = all(c in letters for c in token)
+            self.a_bytes[i] = bytes(letters[c] for c in token) if known else token.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         byte = re.compile(r"<0x([0-9A-F]{2})>").fullmatch
         self.b_bytes = [
             bytes([int(m[1], 16)]) if (m := byte(p)) else p.replace("▁", " ").encode() for p in pieces
         ]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
+        # How an id is written: of A before a comma and before the bar, of B before a comma and the next group.
+        n, m = len(self.a_bytes), len(pieces)
+        self.written = [f"{i}{mark}" for size, mark in ((n, ","), (n, "|"), (m, ","), (m, ";")) for i in range(size)]
         # Words may be encoded one by one only if no piece goes on after a space.
         self.whole = any("▁" in p.lstrip("▁") for p in pieces)
-        self.known: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
 
     def parts(self, text: str) -> list[str]:
         return [" " + text] if self.whole else _PARTS(" " + text)
 
-    def look_up(self, parts: Iterable[str]) -> dict[str, tuple]:
-        """part: (tokens of A, of B, groups, groups as text, links), None if bytes differ."""
-        found, new = {}, []
-        for part in parts:
-            value = self.known.get(part)
-            if value is None and (value := self.older.get(part)) is not None:
-                self._keep(part, value)
+    def look_up(self, parts: list[str]) -> list[tuple[bytes, bytes]]:
+        """The ids of A and of B for each part, empty where its bytes are not given back."""
+        found = list(map(self.known.get, parts))
+        new = []
+        for i, value in enumerate(found):
             if value is None:
-                new.append(part)
-            else:
-                found[part] = value
-        a = [e.ids for e in self.a.encode_batch(new, add_special_tokens=False)]
-        b = self.b.encode([part[1:] for part in new], num_threads=1)
-        for part, ours, theirs in zip(new, a, b, strict=True):
-            value = self._aligned(part.encode(), ours, theirs)
-            found[part] = value
-            if len(part) <= LONGEST:
-                self._keep(part, value)
+                found[i] = value = self.older.get(parts[i])
+                if value is None:
+                    new.append(i)
+                else:
+                    self._keep(parts[i], value)
+        texts = [parts[i] for i in new]
+        a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+        b = self.b.encode([t[1:] for t in texts], num_threads=1)
+        raw = [t.encode() for t in texts]
+        good = [self._given_back(raw, ids, table) for ids, table in ((a, self.a_bytes), (b, self.b_bytes))]
+        for k, i in enumerate(new):
+            value = b"", b""
+            if good[0][k] and good[1][k]:
+                value = array("I", a[k]).tobytes(), array("I", b[k]).tobytes()
+            found[i] = value
+            if len(parts[i]) <= LONGEST:
+                self._keep(parts[i], value)
         return found
 
-    def _keep(self, part: str, value: tuple) -> None:
+    def _keep(self, part: str, value: tuple[bytes, bytes]) -> None:
         if len(self.known) >= WORDS:
             self.older, self.known = self.known, {}
         self.known[part] = value
 
-    def _aligned(self, raw: bytes, a: list[int], b: list[int]) -> tuple:
-        ours, theirs = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(ours) != raw or b"".join(theirs) != raw:
-            return ()
-        groups, links, i, j, x, y = [], [], 0, 0, 0, 0
-        start = 0, 0
-        while i < len(a) or j < len(b):
-            if x <= y and i < len(a):
-                x, i = x + len(ours[i]), i + 1
-            else:
-                y, j = y + len(theirs[j]), j + 1
-            if x == y:
-                groups.append(f"{','.join(map(str, a[start[0]:i]))}|{','.join(map(str, b[start[1]:j]))}")
-                links.append(b[j - 1] << 32 | a[i - 1])
-                start = i, j
-        return len(a), len(b), len(groups), ";".join(groups), links
+    @staticmethod
+    def _given_back(raw: list[bytes], rows: list[list[int]], table: list[bytes]) -> list[bool]:
+        """Whether the tokens of each row are its bytes."""
+        return [b"".join([table[i] for i in ids]) == own for own, ids in zip(raw, rows, strict=True)]
+
+
+class _Aligned:
+    """Different words with their tokens cut into groups, all of them at once.
+
+    Words lie one after the other, so that all token ends are places in one text.
+    """
+
+    def __init__(self, own: Words, parts: list[str]):
+        rows = own.look_up(parts)
+        sides = [np.frombuffer(b"".join([r[k] for r in rows]), np.uint32).astype(np.int64) for k in (0, 1)]
+        self.n_a, self.n_b = (np.array([len(r[k]) >> 2 for r in rows], dtype=np.int64) for k in (0, 1))
+        a, b = sides
+        ends_a, ends_b = np.cumsum(own.a_sizes[a]), np.cumsum(own.b_sizes[b])
+        cut_a, cut_b = np.isin(ends_a, ends_b), np.isin(ends_b, ends_a)
+        links = b[cut_b].astype(np.uint64) << _SHIFT | a[cut_a].astype(np.uint64)
+        # Tokens in the order they are written: group by group, A before B.
+        n, m = len(own.a_bytes), len(own.b_bytes)
+        written = np.concatenate([a + n * cut_a, 2 * n + b + m * cut_b])
+        groups = [np.cumsum(cut) - cut for cut in (cut_a, cut_b)]
+        written = written[np.argsort(np.concatenate([groups[0] * 2, groups[1] * 2 + 1]), kind="stable")]
+        self.written = _Rows(written, self.n_a + self.n_b)
+        before = np.concatenate([[0], np.cumsum(cut_a)])
+        ends = np.cumsum(self.n_a)
+        self.links = _Rows(links, before[ends] - before[ends - self.n_a])
+        self.good = self.n_a > 0
+
+
+class _Rows:
+    """Rows of different sizes that lie side by side."""
+
+    def __init__(self, values: np.ndarray, sizes: np.ndarray):
+        self.values, self.sizes = values, sizes
+        self.starts = np.cumsum(sizes) - sizes
+
+    def take(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of the chosen rows, one after the other, and where each row's end."""
+        wanted = self.sizes[chosen]
+        ends = np.cumsum(wanted)
+        at = np.repeat(self.starts[chosen] - ends + wanted, wanted) + np.arange(wanted.sum())
+        return self.values[at], ends
 
 
 def _byte_letters() -> dict[str, int]:
@@ -169,18 +209,26 @@ class _Batch:
 
     def add(self, own: Words, ids: list, texts: list[str]) -> None:
         cut = [own.parts(t) if t else [] for t in texts]
-        found = own.look_up({part for parts in cut for part in parts})
+        numbers = {part: i for i, part in enumerate(dict.fromkeys(chain.from_iterable(cut)))}
+        aligned = _Aligned(own, list(numbers))
+        words = np.fromiter(map(numbers.__getitem__, chain.from_iterable(cut)), np.int64)
+        links, link_ends = aligned.links.take(words)
+        told, told_ends = aligned.written.take(words)
+        sums = [np.concatenate([[0], np.cumsum(n[words])]) for n in (aligned.n_a, aligned.n_b, ~aligned.good)]
+        link_ends, told_ends = (np.concatenate([[0], e]) for e in (link_ends, told_ends))
+        written, end = own.written.__getitem__, 0
         for i, parts in zip(ids, cut, strict=True):
-            told = [found[part] for part in parts]
-            if not told or not all(told):
+            start, end = end, end + len(parts)
+            n_a, n_b, bad = (int(s[end] - s[start]) for s in sums)
+            if bad or not parts:
                 self.rows.append((i, 0, 0, 0, 0, ""))
                 continue
-            links = [link for t in told for link in t[4]]
-            digest = sha256(";".join([t[3] for t in told]).encode()).hexdigest()
-            self.links.append(np.array(links, dtype=np.uint64))
-            self.docs.append(np.full(len(links), len(self.rows), dtype=np.uint32))
-            counts = [sum(t[k] for t in told) for k in range(3)]
-            self.rows.append((i, *counts, len(links), digest))
+            own_links = links[link_ends[start] : link_ends[end]]
+            text = "".join(map(written, told[told_ends[start] : told_ends[end]].tolist()))
+            self.links.append(own_links)
+            self.docs.append(np.full(len(own_links), len(self.rows), dtype=np.uint32))
+            digest = sha256(text[:-1].encode()).hexdigest()
+            self.rows.append((i, n_a, n_b, len(own_links), len(own_links), digest))
         self.size += sum(map(len, texts))
 
     def runs(self) -> Iterator[tuple[int, bytes, bytes]]:
