@@ -3,8 +3,9 @@
 Two sets x, y with |x & y| * 100 >= percent * |x | y| differ in size by that share at most, and
 share a shingle among the first |x| - ceil(percent * |x| / 100) + 1 of each, in any one order
 of all shingles. The order here is rare shingles first, so passages that many documents hold
-bring nobody together; how frequent a shingle is, is read off a table of 2**21 counters that
-all documents fill, so its size is fixed.
+bring nobody together; how frequent a shingle is, is read off a table of 2**23 counters that
+all documents fill, so its size is fixed: what a counter holds beyond the usual is a frequent
+shingle's.
 
 Documents with equal sets are one class with one representative. The representatives that
 share a prefix shingle make a bucket:
@@ -43,7 +44,7 @@ from gradus.llm.shingles import mix, overlap, shingle_sets
 from gradus.llm.staging import Stage
 
 #: Counters of shingles, and the parts they are added up in.
-CELLS, CHUNKS = 1 << 21, 128
+CELLS, CHUNKS = 1 << 23, 32
 #: Bits of a bitmap at least; beyond, the power of two from the set's size on.
 BITS = 512
 #: Members of a tile, and shingles in their sets together, at most (one member at least).
@@ -59,10 +60,11 @@ def _needed(percent: int, size: int | np.ndarray) -> int | np.ndarray:
 
 
 def _counters(source: DataFrame, width: int) -> np.ndarray:
-    """For each cell, how far it is above the average: the binary logarithm, 0 at least."""
+    """For each cell how far it is above the usual: 0 within four standard deviations, then
+    one more for each doubling."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(CELLS, dtype=np.int64)
+        cells = np.zeros(CELLS, dtype=np.int32)
         for batch in batches:
             values = [t.encode() for t in texts(batch, "body")]
             for start, end in pieces(values):
@@ -85,17 +87,22 @@ def _counters(source: DataFrame, width: int) -> np.ndarray:
 
     fields = "chunk int, cells binary"
     parts = source.select("body").mapInArrow(count, fields)
-    # CHUNKS rows, of 16 MB together at most.
+    # CHUNKS rows, of 64 MB together at most before packing.
     rows = parts.repartition(CHUNKS, "chunk").mapInArrow(add, fields).collect()
     found = np.zeros((CHUNKS, CELLS // CHUNKS), dtype=np.int64)
     for r in rows:
         found[r["chunk"]] = _numbers(r["cells"])
-    mean = max(1.0, found.sum() / CELLS)
-    return np.log2(np.maximum(found.ravel() / mean, 1)).astype(np.uint8)
+    usual = float(np.median(found))
+    spread = 4 * max(usual, 1 / 16) ** 0.5
+    levels = np.empty(found.shape, dtype=np.uint8)
+    for level, row in zip(levels, found, strict=True):
+        above = np.maximum((row - usual) / spread, 1)
+        level[:] = np.where(above > 1, 1 + np.log2(above), 0)
+    return levels.ravel()
 
 
 def _packed(numbers: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(numbers.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(numbers.astype(np.int64).tobytes())
 
 
 def _numbers(packed: bytes) -> np.ndarray:
@@ -110,7 +117,7 @@ def _chunks(cells: np.ndarray) -> pa.RecordBatch:
 
 
 def _cells(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(43)).astype(np.int64)
+    return (shingles >> np.uint64(41)).astype(np.int64)
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
@@ -155,6 +162,16 @@ def _describe(width: int, percent: int, levels: np.ndarray):
     return compute
 
 
+def _grouped(links: DataFrame) -> DataFrame:
+    """(node, component): nodes of one component are connected, though not all connected ones
+    have the same. Two steps of taking the smallest neighbour, enough for groups round a hub."""
+    both = links.select(F.col("hub").alias("u"), F.col("id").alias("v"))
+    both = both.union(links.select(F.col("id").alias("u"), F.col("hub").alias("v")))
+    near = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    beyond = both.join(near.select(F.col("u").alias("v"), "m"), "v").groupBy("u").agg(F.min("m").alias("far"))
+    return near.join(beyond, "u").select(F.col("u").alias("node"), F.least("m", "far").alias("component"))
+
+
 def _sizes_fit(x: str, y: str, percent: int) -> Column:
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
@@ -387,7 +404,7 @@ def join_alike(
     stage.drop(sets)
 
     # Of three members every pair has met an end.
-    found = components(links, stage)
+    found = _grouped(links)
     named = placed.where("members > 3").select("key", "id", "n")
     named = named.join(found, named["id"] == found["node"], "left")
     named = named.select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
