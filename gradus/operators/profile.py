@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gradus.operators.quantiles import quantiles, quantiles_of_counts, value_counts
+
 
 def class_distribution(df: DataFrame, label: str, scale: Sequence[str]) -> DataFrame:
     """(level, label, n, pct) of the labels that occur, in canonical order."""
@@ -45,24 +47,27 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles and max per column, in one pass.
+    """count, mean, std, min, quartiles and max per column.
 
-    The exact percentiles keep one counter per distinct value, combined in each task
-    before the shuffle; for text sizes that is at most the length of the longest text.
+    The quartiles are exact and come from ``quantiles``, so neither a column of different
+    values nor a long one is ever held in one place.
     """
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns]
     )
-    stats = df.select(F.inline(pairs)).groupBy("column_name").agg(
+    values = df.select(F.inline(pairs))
+    stats = values.groupBy("column_name").agg(
         F.count("v").alias("n"),
         F.avg("v").alias("mean"),
         F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"),
-        F.percentile("v", F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias("_q"),
         F.max("v").alias("max"),
     )
-    quartiles = [F.col("_q")[i].alias(name) for i, name in enumerate(("q25", "q50", "q75"))]
-    return stats.select("column_name", "n", "mean", "std", "min", *quartiles, "max")
+    parts = quantiles(values, "v", groups=["column_name"]).select("column_name", "q")
+    quartiles = [F.col("q")[i].alias(name) for i, name in enumerate(("q25", "q50", "q75"))]
+    return stats.join(parts, "column_name", "left").select(
+        "column_name", "n", "mean", "std", "min", *quartiles, "max"
+    )
 
 
 def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
@@ -92,14 +97,8 @@ def boxplot(df: DataFrame, group: str, column: str) -> DataFrame:
     Works on the counts per (group, value): a group with a third of the rows is as
     small as any other after them.
     """
-    counts = (
-        df.where(F.col(column).isNotNull() & F.col(group).isNotNull())
-        .groupBy(F.col(group), F.col(column).cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("f"))
-    )
-    quartiles = counts.groupBy(F.col(group).alias("_group")).agg(
-        F.percentile("v", F.array(*map(F.lit, (0.25, 0.5, 0.75))), F.col("f")).alias("q")
-    )
+    counts = value_counts(df.where(F.col(group).isNotNull()), [group], column)
+    quartiles = quantiles_of_counts(counts, [group]).withColumnRenamed(group, "_group")
     spans = quartiles.select(
         "_group",
         "q",

@@ -11,7 +11,7 @@ from functools import lru_cache
 from gradus.functions.labels import SEARCH_ORDER, SYNONYMS
 from gradus.functions.text import stopwords
 from gradus.schema import CONCEPTS, FIVE_TO_THREE, JUDGE_LABELS, LEVELS_3, LEVELS_5
-from workload.views import DICTIONARY_RANKS, JUDGE_SPELLING
+from workload.views import DICTIONARY_RANKS, JUDGE_SPELLING, SETTINGS
 
 
 def _list(values) -> str:
@@ -438,6 +438,16 @@ FROM (SELECT DISTINCT fold FROM folded) f JOIN fold_terms t ON t.fold <> f.fold
     sql["near_duplicates"] = f"""{base}, hits AS (SELECT *, count(*) OVER (PARTITION BY query) AS n,
     row_number() OVER (PARTITION BY query ORDER BY source, id) AS rn FROM pairs WHERE cosine >= 0.3)
 SELECT query, n, source, id FROM hits WHERE rn = 1"""
+    classes = f"""WITH {DOCS}, {_corpus()},
+keys AS (SELECT id, string_agg(term || ':' || round(w, 9), ' ' ORDER BY term) AS k FROM doc_w GROUP BY id),
+named AS (SELECT id, source, first_value(id) OVER by_key AS class_id, first_value(source) OVER by_key AS class_source
+  FROM keys JOIN docs USING (id) WINDOW by_key AS (PARTITION BY k ORDER BY source, id))"""
+    sql["near_duplicate_classes"] = f"{classes} SELECT source, id, class_source, class_id FROM named"
+    sql["near_duplicate_pairs"] = f"""{classes}, firsts AS (SELECT n.id, n.source, d.term, d.w FROM named n JOIN doc_w d USING (id)
+  WHERE n.id = n.class_id AND n.source = n.class_source)
+SELECT a.source, a.id, b.source AS other_source, b.id AS other_id, round(sum(a.w * b.w), 6) AS cosine
+FROM firsts a JOIN firsts b ON a.term = b.term AND (a.source < b.source OR (a.source = b.source AND a.id < b.id))
+GROUP BY ALL HAVING round(sum(a.w * b.w), 6) >= 0.95"""
     tags = f"{_dictionary()}, {_tags('doc_tags', 'doc_words')}"
     sql["concept_jaccard"] = f"""WITH {DOCS}, {_word_table('doc_words', 'docs')}, {tags}, {NEW},
 {_word_table('new_words', 'new')}, {_tags('new_tags', 'new_words')}
@@ -515,9 +525,8 @@ SELECT model, round(avg(accuracy), 6) AS accuracy, round(stddev_pop(accuracy), 6
   round(avg(f1_weighted), 6) AS f1_weighted FROM measures GROUP BY model"""
     sql["leaderboard"] = f"WITH {SOURCE_METRICS} SELECT * FROM placed"
     sql["best_by_source"] = f"WITH {SOURCE_METRICS} SELECT * EXCLUDE (place) FROM placed WHERE place = 1"
-    wanted = [f"src{i}_{n}" for i in (0, 1, 2, 3) for n in (3, 5)] + ["missing_3"]
     sql["f1_grid"] = f"WITH {SOURCE_METRICS} SELECT model, " + ", ".join(
-        f"max(f1_macro) FILTER (source || '_' || n_levels = '{s}') AS {s}" for s in wanted
+        f"max(f1_macro) FILTER (source || '_' || n_levels = '{s}') AS {s}" for s in SETTINGS
     ) + " FROM board GROUP BY model"
 
     doc_tags = f"WITH {DOCS}, {_word_table('doc_words', 'docs')}, {tags}"
@@ -545,6 +554,16 @@ SELECT id, pred, cosine FROM (SELECT d.id, ex.label AS pred, round(coalesce(dot,
     sql["pack_requests"] = f"""WITH {DOCS}, r AS (SELECT id, text AS t, row_number() OVER (ORDER BY id) AS rn FROM docs)
 SELECT (rn - 1) // 10 AS pack, count(*) AS n, min(id) AS first_id, max(id) AS last_id,
   md5(string_agg('Item ' || ((rn - 1) % 10 + 1) || ':' || chr(10) || t, chr(10) || chr(10) ORDER BY rn)) AS body_md5 FROM r GROUP BY 1"""
+    fits = "w.n < 10 AND w.used + r.size <= 20000"
+    sql["pack_requests_by_size"] = f"""WITH RECURSIVE r AS (SELECT doc_id AS id, coalesce(text, '') AS t,
+    length(coalesce(text, '')) AS size, row_number() OVER (ORDER BY doc_id) AS rn FROM documents),
+walk AS (SELECT rn, CAST(0 AS BIGINT) AS pack, CAST(1 AS BIGINT) AS n, CAST(size AS BIGINT) AS used FROM r WHERE rn = 1
+  UNION ALL SELECT r.rn, CASE WHEN {fits} THEN w.pack ELSE w.pack + 1 END, CASE WHEN {fits} THEN w.n + 1 ELSE 1 END,
+    CASE WHEN {fits} THEN w.used + r.size ELSE r.size END FROM walk w JOIN r ON r.rn = w.rn + 1)
+SELECT pack, count(*) AS n, min(id) AS first_id, max(id) AS last_id, CAST(sum(size) AS BIGINT) AS n_chars,
+  md5(string_agg('Item ' || n || ':' || chr(10) || t, chr(10) || chr(10) ORDER BY rn)) AS body_md5
+FROM walk JOIN r USING (rn) GROUP BY pack"""
+    sql["csv_records"] = "SELECT doc_id AS id, source, md5(text) AS text_md5 FROM documents"
     head = _prompt_head().replace("'", "''")
     sql["request_prompts"] = f"""WITH p AS (SELECT doc_id AS id, '{head}' || text AS body FROM documents)
 SELECT id, CAST(length(body) AS INTEGER) AS n_chars, md5(body) AS body_md5 FROM p"""

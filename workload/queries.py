@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,13 @@ from gradus.functions.text import (
     snippet,
     text_size,
 )
-from gradus.operators import consolidate, folds, knn, metrics, models, profile, recommend
+from gradus.operators import allpairs, consolidate, folds, knn, metrics, models, packing, profile, recommend
 from gradus.operators import ranks, ratings, similarity, tagging, vectors
 from gradus.plans import evaluation, inference
 from gradus.schema import CONCEPTS, LEVELS_3, LEVELS_5
+from gradus.session import shared_folder
 from gradus.sources.files import parse_json_array
+from gradus.sources.split_csv import read_csv_split
 from gradus.sources.tables import catalog_union, contract_report
 from workload import views
 
@@ -89,6 +92,17 @@ def json_array_repair(spark, sf_dir):
     )
 
 
+@query
+def csv_records(spark, sf_dir):
+    """The documents written as CSV, newlines and quotes in their texts, and read back in splits."""
+    docs = views.questions(spark, sf_dir).select("id", "source", "text")
+    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    docs.write.csv(path, header=True, escape='"', quoteAll=True, nullValue="", emptyValue='""', **kept)
+    back = read_csv_split(spark, path, docs.schema)
+    return back.select("id", "source", F.md5("text").alias("text_md5"))
+
+
 # --- text ---------------------------------------------------------------------
 
 
@@ -338,6 +352,24 @@ def near_duplicates(spark, sf_dir):
     )
 
 
+def _all_vectors(spark, sf_dir) -> DataFrame:
+    docs = views.cleaned_questions(spark, sf_dir)
+    return similarity.prepare(vectors.fit_tfidf(docs).transform(docs))
+
+
+@query
+def near_duplicate_classes(spark, sf_dir):
+    """Every document with the first one of the same vector."""
+    members = allpairs.vector_classes(_all_vectors(spark, sf_dir))
+    return members.select("source", "id", "class_source", "class_id")
+
+
+@query
+def near_duplicate_pairs(spark, sf_dir):
+    """All pairs of different vectors with a cosine of 0.95 or more."""
+    return allpairs.alike_pairs(allpairs.vector_classes(_all_vectors(spark, sf_dir)))
+
+
 @query
 def concept_jaccard(spark, sf_dir):
     docs = views.cleaned_questions(spark, sf_dir)
@@ -502,8 +534,7 @@ def best_by_source(spark, sf_dir):
 def f1_grid(spark, sf_dir):
     rows = _source_metrics(spark, sf_dir)
     setting = F.concat_ws("_", "source", F.col("n_levels").cast("string"))
-    wanted = [f"src{i}_{n}" for i in (0, 1, 2, 3) for n in (3, 5)] + ["missing_3"]
-    return consolidate.f1_grid(rows.withColumn("setting", setting), wanted)
+    return consolidate.f1_grid(rows.withColumn("setting", setting), views.SETTINGS)
 
 
 # --- recommendation -----------------------------------------------------------
@@ -648,6 +679,13 @@ def pack_requests(spark, sf_dir):
     return packs.select("pack", "n", "first_id", "last_id", F.md5("body").alias("body_md5"))
 
 
+@query
+def pack_requests_by_size(spark, sf_dir):
+    """Packs of at most ten statements and 20,000 characters."""
+    packs = packing.pack_by_size(views.questions(spark, sf_dir), budget=20_000, pack_size=10)
+    return packs.select("pack", "n", "first_id", "last_id", "n_chars", F.md5("body").alias("body_md5"))
+
+
 @query
 def request_prompts(spark, sf_dir):
     body = tagging.request(F.col("text"), CONCEPTS, "conceitos")

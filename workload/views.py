@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gradus.functions.concepts import one_hot, tag_by_words
 from gradus.functions.labels import collapse, level_of, note_of
 from gradus.functions.text import clean_text, word_tokens
+from gradus.operators.quantiles import quantiles
 from gradus.operators.vectors import TfidfModel, term_totals, with_terms, with_words
 from gradus.schema import CONCEPTS
 from gradus.session import spread
@@ -15,6 +16,8 @@ from gradus.session import spread
 # Ranks (by corpus count) of the words that stand for concepts in the test corpus.
 DICTIONARY_RANKS = (300, 390)
 QUANTILES = (0.2, 0.4, 0.6, 0.8)
+# Settings of the score grid: every source with 3 and 5 levels, and one that does not occur.
+SETTINGS = [f"src{i}_{n}" for i in range(20) for n in (3, 5)] + ["missing_3"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,8 +53,8 @@ def _label(spark: SparkSession, sf_dir: str) -> Column:
     """
     marked = _marked(spark, sf_dir)
     sizes = questions(spark, sf_dir).select("id", "n_chars").join(marked, "id", "left_semi")
-    cuts = sizes.agg(F.percentile("n_chars", F.array(*map(F.lit, QUANTILES)))).first()[0]
-    above = [(F.col("n_chars") > cut).cast("int") for cut in cuts or ()]
+    cuts = quantiles(sizes, "n_chars", QUANTILES).first()
+    above = [(F.col("n_chars") > cut).cast("int") for cut in (cuts.q if cuts else ())]
     return level_of(sum(above, F.lit(1)))
 
 
