@@ -16,12 +16,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradus.functions.folding import let
-from gradus.functions.text import strip
+from gradus.functions.text import ngrams, strip
 from gradus.operators.ranks import sequence_rank
 from gradus.operators.similarity import neighbours_of_rows
 from gradus.operators.vectors import TfidfModel
 
 
+#: Keys that one token of the dictionary is dealt to.
+SALTS = 8
+
+
 def request(
     text: Column, allowed: Sequence[str], field: str, examples: Sequence[tuple[str, str]] = ()
 ) -> Column:
@@ -163,12 +167,29 @@ def align(items: DataFrame, cache: DataFrame, value: str, order: str, key: Key =
     return items.join(found, _same(keys), "left").drop(*[f"_{k}" for k in keys])
 
 
-def concept_dictionary(ranked_words: DataFrame, limit: int = 10_000) -> dict[str, str]:
-    """(word, concept) rows as a constant for ``tag_by_words``; refused when too large."""
-    rows = ranked_words.select("word", "concept").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"a concept dictionary has at most {limit} words")
-    return {row.word: row.concept for row in sorted(rows)}
+def tag_by_dictionary(
+    df: DataFrame, dictionary: DataFrame, keys: Sequence[str], tokens: str = "words", longest: int = 1
+) -> DataFrame:
+    """``df`` plus ``concepts``: the sorted names of the terms that occur in ``tokens``.
+
+    ``dictionary`` is a table (word, concept) of any size; with ``longest`` above 1 its words
+    may be phrases of up to so many tokens. Each row's different tokens are joined with it;
+    a token that many rows hold is dealt to SALTS keys, and each row's concepts are
+    gathered in its task before they are shuffled. Rows without a hit get an empty set; rows
+    that share their keys share their concepts.
+    """
+    keys = list(keys)
+    phrases = F.col(tokens) if longest == 1 else ngrams(F.col(tokens), longest)
+    salt = F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int").alias("_salt")
+    each = df.select(*[F.col(k).alias(f"_{k}") for k in keys], salt, F.explode(F.array_distinct(phrases)).alias("word"))
+    terms = dictionary.select("word", "concept").distinct()
+    terms = terms.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = each.join(terms, ["word", "_salt"]).groupBy(*[f"_{k}" for k in keys]).agg(
+        F.array_sort(F.collect_set("concept")).alias("concepts")
+    )
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    joined = df.join(found, same, "left").drop(*[f"_{k}" for k in keys])
+    return joined.withColumn("concepts", F.coalesce("concepts", F.array().cast("array<string>")))
 
 
 def label_by_example(

@@ -125,3 +125,18 @@ def test_user_model_hook(spark):
 
     got = tagging.tag_with(df, model, "id long, n long").collect()
     assert {(r.id, r.n) for r in got} == {(1, 2), (2, 1)}
+
+
+def test_dictionary_as_a_table(spark):
+    rows = [(i, "s", ["common", f"w{i}", "deep", "sea"]) for i in range(300)]
+    rows += [(300, "s", []), (301, None, ["common", "common"]), (None, "s", ["sea", "deep"]), (302, "s", None)]
+    df = spark.createDataFrame(rows, "id long, source string, words array<string>").repartition(5)
+    terms = [("common", "c"), ("deep sea", "d"), ("w7", "a"), ("w7", "b"), ("w7", "a"), ("absent", "x"), (None, "n")]
+    dictionary = spark.createDataFrame(terms, "word string, concept string")
+    got = {r.id: r.concepts for r in tagging.tag_by_dictionary(df, dictionary, ["source", "id"], longest=2).collect()}
+    assert len(got) == len(rows)
+    assert got[7] == ["a", "b", "c", "d"] and got[8] == ["c", "d"] and got[301] == ["c"]
+    assert got[300] == got[302] == got[None] == []
+    single = tagging.tag_by_dictionary(df, dictionary, ["source", "id"])
+    assert {r.id: r.concepts for r in single.collect()}[8] == ["c"]
+    assert tagging.tag_by_dictionary(df, dictionary.where("false"), ["id"]).where("size(concepts) > 0").count() == 0

@@ -11,7 +11,7 @@ from functools import lru_cache
 from gradus.functions.labels import SEARCH_ORDER, SYNONYMS
 from gradus.functions.text import stopwords
 from gradus.schema import CONCEPTS, FIVE_TO_THREE, JUDGE_LABELS, LEVELS_3, LEVELS_5
-from workload.views import DICTIONARY_RANKS, JUDGE_SPELLING, SETTINGS
+from workload.views import JUDGE_SPELLING, SETTINGS
 
 
 def _list(values) -> str:
@@ -161,11 +161,9 @@ pairs AS (SELECT n.id AS query, n.level AS qlevel, c.id, c.source, coalesce(dots
 
 
 def _dictionary() -> str:
-    low, high = DICTIONARY_RANKS
-    return f"""uni_ranked AS (SELECT term, row_number() OVER (ORDER BY total DESC, term) AS r
-  FROM (SELECT term, sum(tf) AS total FROM ({_inline_unigrams()}) GROUP BY term HAVING count(*) >= 2)),
-dictionary AS (SELECT term AS word, ({_list(CONCEPTS)})[1 + r % {len(CONCEPTS)}] AS concept
-  FROM uni_ranked WHERE r > {low} AND r <= {high})"""
+    number = f"CAST('0x' || substr(md5(term), 1, 7) AS BIGINT) % {len(CONCEPTS)}"
+    return f"""dictionary AS (SELECT term AS word, ({_list(CONCEPTS)})[1 + {number}] AS concept
+  FROM ({_inline_unigrams()}) GROUP BY term HAVING count(*) >= 2)"""
 
 
 def _inline_unigrams() -> str:
@@ -452,7 +450,7 @@ GROUP BY ALL HAVING round(sum(a.w * b.w), 6) >= 0.95"""
     sql["concept_jaccard"] = f"""WITH {DOCS}, {_word_table('doc_words', 'docs')}, {tags}, {NEW},
 {_word_table('new_words', 'new')}, {_tags('new_tags', 'new_words')}
 SELECT q.id AS query, round({_jaccard('q.concepts', 'd.concepts')}, 6) AS jaccard, count(*) AS n
-FROM new_tags q JOIN doc_tags d ON {_both('q.concepts', 'd.concepts')} > 0 GROUP BY ALL"""
+FROM new_tags q CROSS JOIN doc_tags d GROUP BY ALL"""
     pairs = f"WITH {_text_pairs()}"
     sql["blended_topk"] = f"""{pairs} SELECT query, rank, source, id, score, cosine, round(jaccard, 6) AS jaccard FROM (
   SELECT *, {score_rank} AS rank FROM scored) WHERE rank <= 5"""

@@ -384,19 +384,25 @@ def concept_jaccard(spark, sf_dir):
     shared = sets.select("concepts", "n", F.explode("concepts").alias("c")).join(
         asked.select("query", "wanted", F.explode("wanted").alias("c")), "c"
     )
-    return (
+    bins = (
         shared.groupBy("query", "wanted", "concepts")
         .agg(F.first("n").alias("n"))
         .groupBy("query", overlap.alias("jaccard"))
         .agg(F.sum("n").alias("n"))
     )
+    # Sets without a common concept make no pair: they are all items less the others.
+    others = bins.groupBy("query").agg(F.sum("n").alias("met"))
+    left = sets.agg(F.sum("n")).scalar() - F.coalesce("met", F.lit(0))
+    apart = asked.select("query").join(others, "query", "left")
+    apart = apart.select("query", F.lit(0.0).alias("jaccard"), left.alias("n"))
+    return bins.unionByName(apart.where("n > 0"))
 
 
 @query
 def blended_topk(spark, sf_dir):
     docs = views.cleaned_questions(spark, sf_dir)
     model = vectors.fit_tfidf(docs)
-    words = views.dictionary_of(model, docs)
+    words = views.dictionary(docs)
     catalog = views.tagged(model.transform(docs), words)
     asked = views.tagged(model.transform(views.new_questions(spark, sf_dir).drop("level")), words)
     found = recommend.recommend_for_texts(
@@ -544,7 +550,7 @@ def _recommender(spark, sf_dir):
     """(model, dictionary, catalog with features, level and flags)."""
     docs = views.catalog(spark, sf_dir)
     model = vectors.fit_tfidf(docs)
-    words = views.dictionary_of(model, docs)
+    words = views.dictionary(docs)
     # Used for the profiles and again for the candidates.
     return model, words, views.tagged(model.transform(docs), words).drop("words").persist()
 

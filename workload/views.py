@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradus.functions.concepts import one_hot, tag_by_words
+from gradus.functions.concepts import one_hot
 from gradus.functions.labels import collapse, level_of, note_of
 from gradus.functions.text import clean_text, word_tokens
 from gradus.operators.quantiles import quantiles
-from gradus.operators.vectors import TfidfModel, term_totals, with_terms, with_words
+from gradus.operators.tagging import tag_by_dictionary
+from gradus.operators.vectors import term_totals, with_terms, with_words
 from gradus.schema import CONCEPTS
-from gradus.session import spread
+from gradus.session import durable, spread
 
-# Ranks (by corpus count) of the words that stand for concepts in the test corpus.
-DICTIONARY_RANKS = (300, 390)
 QUANTILES = (0.2, 0.4, 0.6, 0.8)
 # Settings of the score grid: every source with 3 and 5 levels, and one that does not occur.
 SETTINGS = [f"src{i}_{n}" for i in range(20) for n in (3, 5)] + ["missing_3"]
@@ -105,37 +104,23 @@ def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dictionary(docs: DataFrame) -> dict[str, str]:
-    """Concept words: a band of the ranking by corpus count, dealt to the taxonomy."""
-    ranked = (
-        term_totals(with_terms(docs, ngram_max=1))
-        .where("df >= 2")
-        .orderBy(F.desc("total"), "term")
-        .limit(DICTIONARY_RANKS[1])
-        .collect()
-    )
-    return _dealt([row.term for row in ranked])
-
-
-def dictionary_of(model: TfidfModel, docs: DataFrame) -> dict[str, str]:
-    """The same from a fitted model, whose terms are in that order already."""
-    words = [term for term in model.terms if " " not in term]
-    return _dealt(words) if len(words) >= DICTIONARY_RANKS[1] else dictionary(docs)
+def dictionary(docs: DataFrame) -> DataFrame:
+    """(word, concept): every word of two documents or more, dealt to the taxonomy by a hash."""
+    words = term_totals(with_terms(docs, ngram_max=1)).where("df >= 2")
+    number = F.conv(F.substring(F.md5("term"), 1, 7), 16, 10).cast("int") % len(CONCEPTS)
+    names = F.array(*map(F.lit, CONCEPTS))
+    return durable(words.select(F.col("term").alias("word"), F.element_at(names, number + 1).alias("concept")))
 
 
-def _dealt(ranked: list[str]) -> dict[str, str]:
-    low, high = DICTIONARY_RANKS
-    band = enumerate(ranked[:high], 1)
-    return {word: CONCEPTS[rank % len(CONCEPTS)] for rank, word in band if rank > low}
-
-
-def tagged(df: DataFrame, words: dict[str, str], text: str = "text") -> DataFrame:
+def tagged(df: DataFrame, words: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``concepts`` (sorted names) and ``flags`` (0/1)."""
-    tokens = F.col("words") if "words" in df.columns else word_tokens(clean_text(F.col(text)))
-    concepts = tag_by_words(tokens, words)
-    return df.withColumn("concepts", F.explode(F.array(concepts))).withColumn(
-        "flags", one_hot(F.col("concepts"))
-    )
+    keys = ["query"] if "query" in df.columns else [c for c in ("source", "id") if c in df.columns]
+    if "words" in df.columns:
+        found = tag_by_dictionary(df, words, keys)
+    else:
+        tokens = word_tokens(clean_text(F.col(text)))
+        found = tag_by_dictionary(df.withColumn("words", tokens), words, keys).drop("words")
+    return found.withColumn("flags", one_hot(F.col("concepts")))
 
 
 def new_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
