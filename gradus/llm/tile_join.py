@@ -172,6 +172,18 @@ def _grouped(links: DataFrame) -> DataFrame:
     return near.join(beyond, "u").select(F.col("u").alias("node"), F.least("m", "far").alias("component"))
 
 
+def _likely_among(rows: DataFrame, some: DataFrame) -> DataFrame:
+    """The ``rows`` whose id may be in ``some``: a table of 2**23 bits, whatever their number,
+    is broadcast, so that few other texts are shuffled for the exact join that follows."""
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 23))
+    bit = F.expr("shiftleft(1L, CAST(_place % 64 AS INT))")
+    marked = some.withColumn("_place", place).groupBy(F.shiftright("_place", 6).alias("_word"))
+    # 2**17 rows at most.
+    words = F.broadcast(marked.agg(F.bit_or(bit).alias("_bits")))
+    placed = rows.withColumn("_place", place).withColumn("_word", F.shiftright("_place", 6)).join(words, "_word")
+    return placed.where(F.col("_bits").bitwiseAND(bit) != 0).select(rows.columns)
+
+
 def _sizes_fit(x: str, y: str, percent: int) -> Column:
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
@@ -394,7 +406,8 @@ def join_alike(
     stage.drop(reps)
 
     def sets_of(some: DataFrame) -> DataFrame:
-        wanted = source.where("id IS NOT NULL").join(some, "id", "left_semi").distinct()
+        some = stage.write(some)
+        wanted = _likely_among(source.where("id IS NOT NULL"), some).join(some, "id", "left_semi").distinct()
         return stage.write(extend(wanted, "shingles binary", _shingles(shingle_words)).select("id", "shingles"))
 
     pairs = placed.select(F.explode(F.array("low", "high")).alias("hub"), "id").where("hub <> id").distinct()
