@@ -84,12 +84,14 @@ def render(turns: DataFrame, template: Template = Template(), trained: str = "as
     ``loss_spans`` are the start and end, in code points of ``formatted``, of the texts of
     the role ``trained``, in order. A turn's place comes from a running sum, not from a scan
     of the text. A conversation is one row, as long as it is: it is the unit of training.
+    A NULL role or text counts as empty, and its turn stays; a NULL ``conv_id`` is a
+    conversation; turns with equal numbers come in the order of their pieces.
     """
-    role = F.replace(escape(F.col("role"), template), F.lit("\n"), F.lit("\\\n"))
+    role = F.replace(escape(F.coalesce("role", F.lit("")), template), F.lit("\n"), F.lit("\\\n"))
     head = F.concat(F.lit(template.open), role, F.lit("\n"))
-    body = escape(F.col("text"), template)
+    body = escape(F.coalesce("text", F.lit("")), template)
     parts = turns.select(
-        "conv_id", "turn", (F.col("role") == trained).alias("_trained"),
+        "conv_id", "turn", F.coalesce(F.col("role") == trained, F.lit(False)).alias("_trained"),
         F.concat(head, body, F.lit(template.close)).alias("_piece"),
         F.char_length(head).cast("long").alias("_head"), F.char_length(body).cast("long").alias("_body"),
     )

@@ -225,10 +225,13 @@ def extract(df: DataFrame, html_column: str = "html") -> DataFrame:
     as far as it makes sense; repeated rows are read each. Columns of ``df`` by the two
     names are replaced; an empty table gives an empty one.
     """
-    df = df.drop("text", "n_chars") if html_column not in ("text", "n_chars") else df
+    page = "_page"
+    while page in df.columns:
+        page += "_"
+    df = df.withColumn(page, df[f"`{html_column}`"]).drop("text", "n_chars")
 
     def compute(batch: pa.RecordBatch) -> list[list]:
-        found = [main_text(page) for page in texts(batch, html_column)]
+        found = [main_text(html) for html in texts(batch, page)]
         return [found, [len(text) for text in found]]
 
-    return extend(df, "text string, n_chars long", compute)
+    return extend(df, "text string, n_chars long", compute).drop(page)

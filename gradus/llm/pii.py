@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -231,10 +232,13 @@ def all_spans(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
     every = {}
     for kind, spans in base_spans(traced.text).items():
         mapped = [(traced.starts[a], traced.ends[b - 1]) for a, b in spans]
-        kept = list(base[kind])
+        # Both are in order and each apart in itself, so one neighbour decides.
+        kept, begins, last = list(base[kind]), [a for a, _ in base[kind]], 0
         for a, b in mapped:
-            if all(b <= x or y <= a for x, y in kept):
+            before = bisect_left(begins, b) - 1
+            if a >= last and (before < 0 or base[kind][before][1] <= a):
                 kept.append((a, b))
+                last = b
         every[kind] = sorted(kept)
     return base, every
 
@@ -287,5 +291,8 @@ def redact(df: DataFrame, text_column: str = "text") -> DataFrame:
             out.append(text)
         return [out]
 
-    made = extend(df, "_redacted string", compute)
-    return made.withColumn(text_column, made["_redacted"]).select(df.columns)
+    name = "_redacted"
+    while name in df.columns:
+        name += "_"
+    made = extend(df, f"{name} string", compute)
+    return made.withColumn(text_column, made[name]).select(df.columns)

@@ -88,31 +88,31 @@ def judge(df: DataFrame, rules: list[Rule], listed: DataFrame, url_column: str =
     ``canonical``) are blocked and others allowed.
 
     A NULL URL, or one without ``://``, has an empty host and path and is allowed. Repeated
-    rows are judged each; NULLs and repeats in ``listed`` do nothing; empty tables give
-    empty results. Columns of ``df`` by the four names are replaced, others stay.
+    rows are judged each; URLs of any length are judged whole; NULLs and repeats in ``listed``
+    do nothing; empty tables give empty results. Columns of ``df`` by the four names are
+    replaced, others stay, whatever their names.
     """
     if len(rules) > 1000:
         raise ValueError("more than 1,000 rules belong in the list")
     df = df.drop("host", "path", "rule", "verdict")
-    url = df[url_column]
-    split = df.withColumns({"host": host_of(url), "path": path_of(url)})
+    # The caller's columns travel as one, so that none can be mistaken for one of these.
+    row = F.struct(*[df[f"`{c}`"] for c in df.columns])
+    packed = df.select(row.alias("row"), df[f"`{url_column}`"].alias("url"))
+    split = packed.select("row", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rule, verdict = _by_rule(rules, F.col("host"), F.col("path"))
     ruled = split.withColumns({"rule": rule, "verdict": verdict})
-    ruled = ruled.withColumn(
-        "_key", F.when(F.col("rule").isNull(), canonical(F.col("host"), F.col("path")))
-    )
+    key = F.when(F.col("rule").isNull(), canonical(F.col("host"), F.col("path")))
+    ruled = ruled.withColumn("key", key)
 
-    names = listed.select(F.col(listed.columns[0]).alias("_listed")).where("_listed IS NOT NULL")
-    blocks = bloom_filter(names, "_listed").withColumnRenamed("block", "_block")
-    probed = ruled.withColumn("_block", _block(F.col("_key"))).join(F.broadcast(blocks), "_block", "left")
+    names = listed.select(F.col(listed.columns[0]).alias("listed")).where("listed IS NOT NULL")
+    blocks = bloom_filter(names, "listed")
+    probed = ruled.withColumn("block", _block(F.col("key"))).join(F.broadcast(blocks), "block", "left")
     maybe = F.lit(True)
     for i in range(WORDS):
-        maybe = maybe & (F.col(f"w{i}").bitwiseAND(_bit(F.col("_key"), i)) != 0)
-    probed = probed.withColumn("_maybe", F.coalesce(F.col("_key").isNotNull() & maybe, F.lit(False)))
-    out = [*df.columns, "host", "path", "rule"]
-    clear = probed.where(~F.col("_maybe")).select(
-        *out, F.coalesce("verdict", F.lit("allow")).alias("verdict")
-    )
-    hits = probed.where("_maybe").join(names.distinct(), F.col("_key") == F.col("_listed"), "left")
-    exact = F.when(F.col("_listed").isNotNull(), "block").otherwise("allow")
+        maybe = maybe & (F.col(f"w{i}").bitwiseAND(_bit(F.col("key"), i)) != 0)
+    probed = probed.withColumn("maybe", F.coalesce(F.col("key").isNotNull() & maybe, F.lit(False)))
+    out = ["row.*", "host", "path", "rule"]
+    clear = probed.where(~F.col("maybe")).select(*out, F.coalesce("verdict", F.lit("allow")).alias("verdict"))
+    hits = probed.where("maybe").join(names.distinct(), F.col("key") == F.col("listed"), "left")
+    exact = F.when(F.col("listed").isNotNull(), "block").otherwise("allow")
     return clear.union(hits.select(*out, exact.alias("verdict")))

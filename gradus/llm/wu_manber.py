@@ -140,10 +140,13 @@ def decontaminate(
     job without a shuffle, so what goes through the driver and to the tasks at once is bounded.
     NULL and empty texts have no words, items without words no window. An item without an
     id counts with an empty id; equal items count each. Columns of ``df`` by the new names
-    (and by ``_spans`` and ``_items``) are replaced; empty tables give empty results.
+    are replaced, others stay, whatever their names; empty tables give empty results.
     """
     added = ["n_words", "n_hit", "hit_spans", "items", "contaminated"]
-    df = df.drop(*added, "_spans", "_items")
+    body = df[f"`{text_column}`"].alias("body")
+    # The caller's columns travel as one, so that none can be mistaken for one of these.
+    kept = [df[f"`{c}`"] for c in df.columns if c not in added]
+    df = df.select(F.struct(*kept).alias("row") if kept else F.lit(None).alias("row"), body)
     columns = df.columns
     item = benchmark.where(F.col(item_text).isNotNull()).select(
         F.coalesce(F.col(item_column).cast("string"), F.lit("")).alias("name"),
@@ -157,7 +160,7 @@ def decontaminate(
     for block in range(blocks):
         part = item.where(F.pmod(F.xxhash64("name", "body"), F.lit(blocks)) == block)
         rows = [(r.name, r.body) for r in part.toLocalIterator()]
-        made = extend(out, "n0 int, s0 array<int>, i0 array<string>", _search(rows, text_column, window))
+        made = extend(out, "n0 int, s0 array<int>, i0 array<string>", _search(rows, "body", window))
         out = made.select(
             *columns, F.col("s0").alias("_spans"), F.col("i0").alias("_items"), F.col("n0").alias("_n")
         )
@@ -171,5 +174,5 @@ def decontaminate(
     hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     out = out.withColumns({"n_words": F.col("_n").cast("long"), "n_hit": hit, "items": F.col("_items")})
     guilty = (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
-    return out.withColumn("contaminated", guilty).select(*columns, *added)
+    return out.withColumn("contaminated", guilty).select(*(["row.*"] if kept else []), *added)
 
