@@ -50,6 +50,8 @@ BATCH_BYTES, BATCH_TEXTS = 8 << 20, 1 << 16
 SLICE_BYTES, FAN = 32 << 20, 64
 #: Words remembered by one worker, in each of two generations, and the longest of them.
 WORDS, LONGEST = 100_000, 64
+#: New words encoded in one text.
+SIDE_BY_SIDE = 200
 
 _PARTS = re.compile(r"(?<=\S)(?= [\s\S])").split
 _SHIFT = np.uint64(32)
@@ -118,30 +120,57 @@ class Words:
                     new.append(i)
                 else:
                     self._keep(parts[i], value)
-        texts = [parts[i] for i in new]
-        a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
-        b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        raw = [t.encode() for t in texts]
-        good = [self._given_back(raw, ids, table) for ids, table in ((a, self.a_bytes), (b, self.b_bytes))]
-        for k, i in enumerate(new):
-            value = b"", b""
-            if good[0][k] and good[1][k]:
-                value = array("I", a[k]).tobytes(), array("I", b[k]).tobytes()
-            found[i] = value
+        # Words that end with a letter or sign are encoded side by side: their bounds stay token ends.
+        plain = [i for i in new if not parts[i][-1].isspace()]
+        odd = [i for i in new if parts[i][-1].isspace()]
+        for start in range(0, len(plain), SIDE_BY_SIDE):
+            some = plain[start : start + SIDE_BY_SIDE]
+            made = self._together([parts[i] for i in some])
+            if made is None:
+                odd += some
+            else:
+                for i, value in zip(some, made, strict=True):
+                    found[i] = value
+        for i in odd:
+            found[i] = self._alone(parts[i])
+        for i in new:
             if len(parts[i]) <= LONGEST:
-                self._keep(parts[i], value)
+                self._keep(parts[i], found[i])
         return found
 
+    def _ids(self, text: str) -> list[tuple[list[int], list[bytes]]]:
+        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        b = self.b.encode([text[1:]], num_threads=1)[0]
+        return [(a, self.a_bytes), (b, self.b_bytes)]
+
+    def _alone(self, part: str) -> tuple[bytes, bytes]:
+        raw, sides = part.encode(), self._ids(part)
+        if any(b"".join([table[i] for i in ids]) != raw for ids, table in sides):
+            return b"", b""
+        return tuple(array("I", ids).tobytes() for ids, _ in sides)
+
+    def _together(self, parts: list[str]) -> list[tuple[bytes, bytes]] | None:
+        """The words' ids from one text of them all; None if its bytes are not given back."""
+        raw = [p.encode() for p in parts]
+        whole, bounds = b"".join(raw), np.cumsum([len(r) for r in raw])
+        cut = []
+        for (ids, table), sizes in zip(self._ids("".join(parts)), (self.a_sizes, self.b_sizes), strict=True):
+            if b"".join(map(table.__getitem__, ids)) != whole:
+                return None
+            numbers = np.array(ids, dtype=np.uint32)
+            ends = np.cumsum(sizes[numbers])
+            at = np.searchsorted(ends, bounds)
+            if not np.array_equal(ends[at], bounds):
+                return None
+            packed, places = numbers.tobytes(), [0, *((at + 1) * 4).tolist()]
+            cut.append([packed[x:y] for x, y in zip(places, places[1:], strict=False)])
+        return list(zip(*cut, strict=True))
+
     def _keep(self, part: str, value: tuple[bytes, bytes]) -> None:
         if len(self.known) >= WORDS:
             self.older, self.known = self.known, {}
         self.known[part] = value
 
-    @staticmethod
-    def _given_back(raw: list[bytes], rows: list[list[int]], table: list[bytes]) -> list[bool]:
-        """Whether the tokens of each row are its bytes."""
-        return [b"".join([table[i] for i in ids]) == own for own, ids in zip(raw, rows, strict=True)]
-
 
 class _Aligned:
     """Different words with their tokens cut into groups, all of them at once.
