@@ -26,6 +26,7 @@ from gradus.session import shared_folder
 from gradus.sources.files import parse_json_array
 from gradus.sources.split_csv import read_csv_split
 from gradus.sources.tables import catalog_union, contract_report
+from gradus.sources.versions import CacheTable
 from workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -788,6 +789,18 @@ def cached_by_source(spark, sf_dir):
     return tagging.align(items, cache, "pred", "run")
 
 
+@query
+def resume_labels(spark, sf_dir):
+    """Labels of all documents and benchmark items: half cached, the cache compacted, the rest resumed."""
+    items, known = _two_sources(spark, sf_dir)
+    cache = CacheTable(spark, f"{shared_folder(spark)}/cache-{uuid.uuid4().hex}", "source string, id long, pred string", buckets=8)
+    cache.publish(known.where("run = 1").select("source", "id", "pred"))
+    cache.publish(known.where("run = 2").select("source", "id", "pred"))
+    cache.compact("pred")
+    answer = F.when(F.col("id") % 2 == 0, "facil").otherwise("muito_dificil")
+    return cache.resume(items, lambda todo: todo.withColumn("pred", answer), "pred")
+
+
 # --- models (rows only: iterative solvers) ------------------------------------
 
 
