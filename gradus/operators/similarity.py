@@ -232,8 +232,12 @@ def _passes(
     task: Callable[[Broadcast], Task],
     schema: str,
     exclude: DataFrame | None = None,
+    window: int | None = None,
 ) -> DataFrame:
-    """Every block of queries against the whole catalog.
+    """Every block of queries against the catalog.
+
+    With a ``window`` a block reads only the levels that its queries accept: of a catalog
+    stored by level, only those folders. A query of unknown level accepts all of them.
 
     With more than one block both sides are computed once, in storage all executors
     reach. With more than ``WAVE`` blocks each wave of them is finished and stored before
@@ -250,14 +254,20 @@ def _passes(
         mine = F.pmod(F.xxhash64("query"), F.lit(n_blocks)) == number
         return df if n_blocks == 1 else df.where(mine)
 
+    def in_window(df: DataFrame, rows: pd.DataFrame) -> DataFrame:
+        asked = rows["level"].unique()
+        if window is None or not len(asked) or pd.isna(asked).any():
+            return df
+        return df.where(F.col("level").between(float(asked.min()) - window, float(asked.max()) + window))
+
     finished: list[DataFrame] = []
     open_passes: list[DataFrame] = []
     shares: list[Broadcast] = []
     for number in range(n_blocks):
         rows = block_of(queries, number).toPandas()
-        target = catalog
+        target = in_window(catalog, rows)
         if exclude is not None:
-            target = _excluded(catalog, block_of(exclude, number))
+            target = _excluded(target, block_of(exclude, number))
         shares.append(context.broadcast(asdict(_block(rows, size))))
         open_passes.append(target.mapInPandas(task(shares[-1]), schema))
         if len(open_passes) == WAVE and number + 1 < n_blocks:
@@ -314,6 +324,7 @@ def rank_candidates(
         lambda shared: _score_task(shared, rules, size),
         SCORE_SCHEMA,
         exclude,
+        None if rules.relax else rules.window,
     )
     return _merge(found, rules)
 

@@ -24,9 +24,11 @@ def recommend_new(
     """(id, source, label, concepts, recommendations), one row per new question.
 
     ``new``: id, source, words, concepts, flags. ``catalog``: id, source, words, level,
-    flags. The level comes from the classifier; candidates lie within one level of it,
-    or anywhere when that leaves none.
+    flags. The level comes from the classifier, also that of catalog rows without one;
+    candidates lie within one level of it, or anywhere when that leaves none.
     """
+    unknown = models.score_texts(classifier, catalog.where("level IS NULL"), scorer)
+    catalog = recommend.with_effective_level(catalog, unknown.select("source", "id", "pred"), n_levels)
     predicted = recommend.with_level(
         models.score_texts(classifier, new, scorer), "pred", n_levels
     ).withColumn("query", F.xxhash64("source", "id"))

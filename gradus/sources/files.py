@@ -31,19 +31,22 @@ def read_statements(spark: SparkSession, folder: str) -> DataFrame:
     """One text file per question, the id in the file name; (id, text).
 
     Give the folder with or without examples. Files without an id and ``._*``
-    left-overs are skipped, undecodable bytes are dropped by the decoder.
+    left-overs are skipped, undecodable bytes are dropped by the decoder. Of several files
+    with one id, such as ``exercise_1`` and ``exercise_01``, the last by name counts.
     """
     name = F.col("_metadata.file_name")
     number = F.regexp_extract(name, r"(?i)exercise_(\d+)", 1)
-    return (
+    files = (
         spark.read.option("pathGlobFilter", "exercise_*.txt")
         .text(folder, wholetext=True)
         .where(~name.startswith("._") & (number != ""))
         .select(
             number.cast("long").alias("id"),
+            name.alias("name"),
             strip(F.translate("value", "\ufffd", "")).alias("text"),
         )
     )
+    return files.groupBy("id").agg(F.max_by("text", "name").alias("text"))
 
 
 def read_ratings(spark: SparkSession, path: str | list[str]) -> DataFrame:

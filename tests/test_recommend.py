@@ -175,3 +175,69 @@ def test_recommendation_string_keeps_rank_order(spark):
         [(1, 2, "a", 5), (1, 1, "b", 6)], "query long, rank int, source string, id long"
     )
     assert recommend.recommendation_string(ranked).first().recommendations == "6(b); 5(a)"
+
+
+def test_effective_levels_fill_what_has_no_label(spark):
+    rows = [("a", 1, 2), ("a", 2, None), ("b", 1, None), (None, 3, None), ("a", 4, None)]
+    catalog = spark.createDataFrame(rows, "source string, id long, level int")
+    guesses = [("a", 1, "dificil"), ("a", 2, "Fácil"), ("b", 1, "nonsense"), (None, 3, "medio")]
+    predictions = spark.createDataFrame(guesses, "source string, id long, pred string")
+    got = recommend.with_effective_level(catalog, predictions, 3).collect()
+    assert {(r.source, r.id): (r.level, r.effective) for r in got} == {
+        ("a", 1): (2, "medio"), ("a", 2): (1, "facil"), ("b", 1): (None, None), (None, 3): (2, "medio"), ("a", 4): (None, None),
+    }
+    assert recommend.with_effective_level(catalog, predictions.where("false"), 3).where("level IS NULL").count() == 4
+
+
+def test_cached_concepts_by_source_and_id(spark):
+    zeros = [0] * len(CONCEPTS)
+    one, two = [1, *zeros[1:]], [0, 1, *zeros[2:]]
+    catalog = spark.createDataFrame([("a", 1), ("b", 1), ("a", 2), ("a", None), (None, 1)], "source string, id long")
+    cache = spark.createDataFrame(
+        [("a", "1", one), ("a", "1", two), ("b", "1", two), ("a", "x", one), ("a", None, one)],
+        "source string, id string, flags array<int>",
+    )
+    got = {(r.source, r.id): r.flags for r in recommend.with_cached_concepts(catalog, cache).collect()}
+    assert got == {("a", 1): one, ("b", 1): two, ("a", 2): zeros, ("a", None): zeros, (None, 1): zeros}
+
+
+def test_choosing_queries(spark):
+    rows = [(i, f"s{i % 2}", "facil" if i % 3 == 0 else None) for i in range(12)]
+    items = spark.createDataFrame(rows, "id long, source string, label string")
+    ids = lambda **how: [r.id for r in recommend.choose_queries(items, **how).orderBy("id").collect()]
+    assert ids(source="s1", labelled=False, first=3) == [1, 5, 7]
+    assert ids(labelled=True) == [0, 3, 6, 9] and len(ids()) == 12
+    with pytest.raises(ValueError, match="s9"):
+        recommend.choose_queries(items, source="s9")
+    assert [r.id for r in recommend.among(items, items.where("id < 2").union(items.where("id < 2"))).orderBy("id").collect()] == [0, 1]
+
+
+def test_described_rows(spark):
+    zeros = [0] * len(CONCEPTS)
+    catalog = spark.createDataFrame(
+        [("a", 1, "one", "facil", [1, 1, *zeros[2:]]), ("a", 2, None, None, zeros)],
+        "source string, id long, text string, effective string, flags array<int>",
+    )
+    found = spark.createDataFrame([(5, 1, "a", 1, 0.5), (5, 2, "a", 2, 0.4)], "query long, rank int, source string, id long, score double")
+    got = [tuple(r) for r in recommend.described(found, catalog).orderBy("rank").collect()]
+    both = ", ".join(sorted(CONCEPTS[:2]))
+    assert got == [(5, 1, "a", 1, "one", "facil", 0.5, both), (5, 2, "a", 2, None, None, 0.4, "")]
+
+
+def test_window_reads_only_its_levels(spark, corpus, tmp_path):
+    model, catalog, rows = corpus
+    path = str(tmp_path / "by_level")
+    prepare(catalog).write.partitionBy("level").parquet(path)
+    stored = spark.read.parquet(path).select("source", "id", F.col("level").cast("double").alias("level"), "flags", "idx", "w")
+    asked = prepare(catalog.where("id = 75 OR id = 80").withColumn("query", F.col("id")).withColumn("level", F.lit(1)), ("query",))
+    rules = Rules(k=50, window=0)
+    found = rank_candidates(as_queries(asked), stored, model.size, rules)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    kept = [line for line in plan.split("PartitionFilters: ")[1:]]
+    assert kept and all("level" in part.split("PushedFilters")[0] for part in kept)
+    level = {i: lev for i, _, _, lev, _ in rows}
+    assert {level[r.id] for r in found.collect()} == {1}
+    plain = rank_candidates(as_queries(asked), prepare(catalog), model.size, rules)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+    unknown = asked.withColumn("level", F.lit(None).cast("double"))
+    assert rank_candidates(as_queries(unknown), stored, model.size, Rules(k=500, window=0)).count() > found.count()

@@ -195,3 +195,10 @@ def test_consolidated_metrics(spark):
     whole = consolidate.gather({("x", 3): table, ("y", 5): table.where("model = 'knn'")})
     best = {(r.source, r.n_levels): r.model for r in consolidate.best(whole).collect()}
     assert best == {("x", 3): "svm", ("y", 5): "knn"}
+
+
+def test_last_statement_file_of_an_id_counts(spark, tmp_path):
+    for name, text in {"exercise_1.txt": "late", "exercise_01.txt": "early", "Exercise_7.txt": "x", "exercise_2.txt": " two\n"}.items():
+        (tmp_path / name).write_text(text)
+    got = {r.id: r.text for r in files.read_statements(spark, str(tmp_path)).collect()}
+    assert got == {1: "late", 2: "two"}

@@ -472,6 +472,19 @@ SELECT query, rank, source, id, CASE WHEN len(common) = 0 THEN 'conteúdo simila
 w AS (SELECT *, coalesce(qlevel IS NULL OR nullif(level, 3) = qlevel, false) AS in_window FROM scored WHERE cosine < 0.95),
 k AS (SELECT *, bool_or(in_window) OVER (PARTITION BY query) AS hit FROM w)
 SELECT query, rank, source, id, score, in_window FROM (SELECT *, {score_rank} AS rank FROM k WHERE in_window = hit) WHERE rank <= 3"""
+    guess = f"CASE lang WHEN 'en' THEN 1 WHEN 'de' THEN 2 ELSE 3 END"
+    sql["recommend_effective"] = f"""{pairs},
+filled AS (SELECT s.* EXCLUDE (level), CAST(coalesce(s.level, {guess}) AS INTEGER) AS level, d.text FROM scored s JOIN docs d USING (id)),
+top AS (SELECT *, {score_rank} AS rank FROM filled WHERE cosine < 0.95 AND {in_window})
+SELECT query, rank, source, t.id, md5(text) AS text_md5, ({_list(LEVELS_3)})[level] AS effective, score,
+  array_to_string(dt.concepts, ', ') AS concepts FROM top t JOIN doc_tags dt ON dt.id = t.id WHERE rank <= 5"""
+    sql["chosen_queries"] = """SELECT doc_id AS id, source, md5(text) AS text_md5 FROM documents
+WHERE source = 'src3' AND doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY doc_id LIMIT 25"""
+    sql["catalog_concepts"] = f"""WITH {DOCS}, {_word_table('doc_words', 'docs')}, {tags},
+items AS (SELECT id, source FROM docs UNION ALL SELECT item_id, 'benchmark' FROM benchmark)
+SELECT i.source, i.id, coalesce(array_to_string(t.concepts, ','), '') AS concepts FROM items i
+LEFT JOIN (SELECT d.source, g.* FROM doc_tags g JOIN docs d USING (id) WHERE id IN (SELECT doc_id FROM labels)) t
+  ON t.id = i.id AND t.source = i.source"""
     sql["recommend_history"] = _history_topk("users")
     sql["user_level"] = f"WITH {LABELLED}, {CATALOG_LEVEL}, {HISTORY}, {USER_LEVEL} SELECT * FROM user_levels"
     sql["recommend_user_level"] = _history_topk("user_levels")

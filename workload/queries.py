@@ -615,6 +615,37 @@ def recommend_string(spark, sf_dir):
     return recommend.recommendation_string(recommend_text(spark, sf_dir))
 
 
+@query
+def recommend_effective(spark, sf_dir):
+    """Recommendations as they are shown; rows without a label have the level of their language."""
+    model, words, catalog = _recommender(spark, sf_dir)
+    docs = views.questions(spark, sf_dir)
+    guess = F.when(F.col("lang") == "en", "facil").when(F.col("lang") == "de", "medio").otherwise("dificil")
+    filled = recommend.with_effective_level(catalog, docs.select("source", "id", guess.alias("pred")), 3)
+    asked = views.tagged(model.transform(views.new_questions(spark, sf_dir)), words)
+    found = recommend.recommend_for_texts(asked, filled, model, k=5, exclude_self=False)
+    shown = recommend.described(found, filled.join(docs.select("source", "id", "text"), ["source", "id"]))
+    return _ranked(shown, "source", "id", F.md5("text").alias("text_md5"), "effective", "score", "concepts")
+
+
+@query
+def chosen_queries(spark, sf_dir):
+    """The first 25 items of one source that have no label."""
+    chosen = recommend.choose_queries(views.labelled(spark, sf_dir), "src3", labelled=False, first=25)
+    return chosen.select("id", "source", F.md5("text").alias("text_md5"))
+
+
+@query
+def catalog_concepts(spark, sf_dir):
+    """Concepts of two sources by (source, id); cached are the documents that have labels."""
+    docs = views.cleaned_questions(spark, sf_dir)
+    marked = recommend.among(docs, views.supervised(spark, sf_dir))
+    cache = views.tagged(marked, views.dictionary(docs)).select("source", F.col("id").cast("string").alias("id"), "flags")
+    items, _ = _two_sources(spark, sf_dir)
+    found = recommend.with_cached_concepts(items, cache)
+    return found.select("source", "id", F.array_join(concept_set(F.col("flags")), ",").alias("concepts"))
+
+
 # --- tagging ------------------------------------------------------------------
 
 
