@@ -15,23 +15,34 @@ PIECE_BYTES = 1 << 20
 BATCH_BYTES = 4 << 20
 
 
-def extend(df: DataFrame, fields: str, compute: Callable[[pa.RecordBatch], list[Iterable]]) -> DataFrame:
-    """``df`` plus the columns ``fields`` that ``compute`` makes of each batch, a list each."""
+def extend(
+    df: DataFrame, fields: str, compute: Callable[[pa.RecordBatch], list[Iterable]], forget: Callable[[], None] | None = None
+) -> DataFrame:
+    """``df`` plus the columns ``fields`` that ``compute`` makes of each batch, a list each.
+
+    Workers serve one task after the other, of this stage and of others: ``forget`` gives
+    back, at the end of a task, what ``compute`` has remembered.
+    """
     added = T._parse_datatype_string(fields)
     schema = T.StructType(list(df.schema.fields) + list(added.fields))
     types = [field.type for field in to_arrow_schema(added)]
     names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            rows = max(1, whole.num_rows * BATCH_BYTES // max(whole.nbytes, 1))
-            for start in range(0, whole.num_rows, rows):
-                batch = whole.slice(start, rows)
-                made = [
-                    v if isinstance(v, pa.Array) else pa.array(v, type=t)
-                    for v, t in zip(compute(batch), types, strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=names)
+        try:
+            for whole in batches:
+                rows = max(1, whole.num_rows * BATCH_BYTES // max(whole.nbytes, 1))
+                for start in range(0, whole.num_rows, rows):
+                    batch = whole.slice(start, rows)
+                    made = [
+                        v if isinstance(v, pa.Array) else pa.array(v, type=t)
+                        for v, t in zip(compute(batch), types, strict=True)
+                    ]
+                    yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=names)
+        finally:
+            if forget:
+                forget()
+                pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

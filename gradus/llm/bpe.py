@@ -92,6 +92,11 @@ class Transducer:
         self.numbers: dict[tuple[int, ...], int] = {(0,): 0}
         self.moves: dict[int, tuple[int, ...]] = {}
 
+    def forget(self) -> None:
+        self.pairs.clear()
+        self.older_pairs.clear()
+        self.reset()
+
     def _last_merge(self, value: bytes) -> tuple[int, int]:
         """The two tokens left before ``value`` is whole; (-1, -1) if it never is."""
         parts = [value[i : i + 1] for i in range(len(value))]
@@ -215,7 +220,7 @@ class _Pieces(dict):
 
     def __init__(self, transducer: Transducer):
         super().__init__()
-        self.encode = transducer.encode
+        self.transducer, self.encode = transducer, transducer.encode
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -262,6 +267,14 @@ class Codec:
         yield machine.decode(b"", final=True)
 
 
+    def forget(self) -> None:
+        """Gives back all but the vocabulary. Texts make new pieces without end, so the next
+        task gains little from this one's."""
+        self.pieces.clear()
+        self.pieces.older.clear()
+        self.pieces.transducer.forget()
+
+
 @lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
     """One for each worker process."""
@@ -282,7 +295,7 @@ def encode(df: DataFrame, path: str, pattern: str, text_column: str = "text") ->
         own = codec(path, pattern)
         return [_arrays([own.encode(text) for text in texts(batch, text_column)])]
 
-    return extend(df, "ids array<int>", compute)
+    return extend(df, "ids array<int>", compute, lambda: codec(path, pattern).forget())
 
 
 def _arrays(rows: list[bytes]) -> pa.Array:
@@ -306,7 +319,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, text_column: str = "text"
         same = ["".join(own.decode(array("I", ids))) == t for ids, t in zip(made, values, strict=True)]
         return [_arrays(made), [len(ids) // 4 for ids in made], same]
 
-    return extend(df, "ids array<int>, n_tokens long, round_trip boolean", compute)
+    return extend(df, "ids array<int>, n_tokens long, round_trip boolean", compute, lambda: codec(path, pattern).forget())
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids_column: str = "ids") -> DataFrame:
@@ -318,7 +331,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids_column: str = "ids") -> D
         rows = batch.column(ids_column)
         return [["".join(own.decode(ids.as_py() or ())) for ids in rows]]
 
-    return extend(df, "decoded string", compute)
+    return extend(df, "decoded string", compute, lambda: codec(path, pattern).forget())
 
 
 def digests(df: DataFrame, path: str, pattern: str, text_column: str = "text") -> DataFrame:
@@ -343,4 +356,4 @@ def digests(df: DataFrame, path: str, pattern: str, text_column: str = "text") -
             out[2].append(decoded.hexdigest())
         return out
 
-    return extend(df, "n_tokens long, ids_sha256 string, decoded_sha256 string", compute)
+    return extend(df, "n_tokens long, ids_sha256 string, decoded_sha256 string", compute, lambda: codec(path, pattern).forget())

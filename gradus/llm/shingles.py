@@ -28,6 +28,11 @@ def _power(base: np.uint64, n: int) -> np.ndarray:
     return found[:n]
 
 
+def forget() -> None:
+    """Gives back the tables of powers, which are quickly made again."""
+    _powers.clear()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

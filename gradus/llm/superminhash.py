@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from gradus.llm.arrow import extend, pieces, texts
 from gradus.llm.components import components
-from gradus.llm.shingles import mix, overlap, shingle_sets
+from gradus.llm.shingles import forget, mix, overlap, shingle_sets
 from gradus.llm.staging import Stage
 
 SLOTS, BANDS = 128, 32
@@ -258,6 +258,7 @@ def near_duplicates(
         source,
         "n_shingles long, d1 long, d2 long, keys array<long>, sketch binary",
         _describe("body", shingle_words, slots, bands),
+        forget,
     )
     facts = stage.write(made.drop("body"))
     nodes = facts.where("id IS NOT NULL AND n_shingles > 0")

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from gradus.llm.arrow import extend, pieces, texts
 from gradus.llm.components import components
-from gradus.llm.shingles import mix, overlap, shingle_sets
+from gradus.llm.shingles import forget, mix, overlap, shingle_sets
 from gradus.llm.staging import Stage
 
 #: Counters of shingles, and the parts they are added up in.
@@ -386,7 +386,7 @@ def join_alike(
     source = df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("body"))
     levels = _counters(source, shingle_words)
     fields = "n long, d1 long, d2 long, bits binary, prefix array<long>"
-    made = extend(source, fields, _describe(shingle_words, percent, levels)).drop("body")
+    made = extend(source, fields, _describe(shingle_words, percent, levels), forget).drop("body")
     facts = stage.write(made)
     equal = ["d1", "d2", "n"]
     slim = stage.write(facts.select("id", *equal))
@@ -408,7 +408,7 @@ def join_alike(
     def sets_of(some: DataFrame) -> DataFrame:
         some = stage.write(some)
         wanted = _likely_among(source.where("id IS NOT NULL"), some).join(some, "id", "left_semi").distinct()
-        return stage.write(extend(wanted, "shingles binary", _shingles(shingle_words)).select("id", "shingles"))
+        return stage.write(extend(wanted, "shingles binary", _shingles(shingle_words), forget).select("id", "shingles"))
 
     pairs = placed.select(F.explode(F.array("low", "high")).alias("hub"), "id").where("hub <> id").distinct()
     likely = stage.write(_bounded(pairs, bits, percent))

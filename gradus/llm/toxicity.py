@@ -86,6 +86,7 @@ def _place_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             own = counts[1 if label else 0]
             own[places_of(_unpacked(packed.as_py()))] += 1
             own[SPACE] += 1
+    _places.cache_clear()  # workers go on to other tasks
     at = np.flatnonzero(counts.any(0))
     for start in range(0, len(at), 1 << 14):
         part = at[start : start + (1 << 14)]
@@ -316,4 +317,4 @@ def predict(df: DataFrame, chain: Chain, text_column: str = "text") -> DataFrame
         made = [p.round(6).tolist() for p in chain.predict(texts(batch, text_column))]
         return [*made, [p >= 0.5 for p in made[-1]]]
 
-    return extend(df, ", ".join(f"{n} double" for n in names) + ", is_toxic boolean", compute)
+    return extend(df, ", ".join(f"{n} double" for n in names) + ", is_toxic boolean", compute, _places.cache_clear)
