@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from gradus.plans.consolidation import clean_corpus, from_judge, from_ratings
 from gradus.schema import LEVELS_5, QUESTIONS
-from gradus.sources import files, tables
+from gradus.sources import files, split_json, tables
 
 
 def test_csv_with_newlines_and_quotes(spark, tmp_path):
@@ -202,3 +203,54 @@ def test_last_statement_file_of_an_id_counts(spark, tmp_path):
         (tmp_path / name).write_text(text)
     got = {r.id: r.text for r in files.read_statements(spark, str(tmp_path)).collect()}
     assert got == {1: "late", 2: "two"}
+
+
+def _arrays(rng):
+    """JSON arrays of judge records, some cut off, with braces, quotes and brackets in strings."""
+    def record(n):
+        text = "".join(rng.choice(['a', '}', '{', '[', ']', '"', '\\', ',', '\n', 'é', ' ']) for _ in range(rng.randint(0, 40)))
+        made = judge_record(n, rng.choice(["Fácil", "", "}"]), text)
+        made["Test_Case"] = [{"input": "{" * rng.randint(0, 3), "output": "]\\"}] * rng.randint(0, 3)
+        return made
+
+    for n in (0, 1, 2, 40):
+        records = [record(i) for i in range(n)]
+        whole = json.dumps(records, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 2]))
+        for text in (whole, whole + " \n", whole.rstrip("]"), whole.rstrip("]\n ") + ",", whole.rstrip("]\n ") + ",\n\n", f" \n{whole}"):
+            yield text
+
+
+def _damaged(rng):
+    yield from ('[{"ID": 1}, {"ID": 2', '{"ID": 1}', "nothing", '[{"ID": 1} {"ID": 2}]', '[{"ID": 1}, 5]', '[{"ID": 1}]]', '[{"ID": "x]', '["a"]', '[{"ID" 1}]')
+
+
+@pytest.mark.parametrize("size", ["1500", "8m"])
+def test_judge_arrays_in_splits_equal_the_whole_reader(spark, tmp_path, size):
+    rng = random.Random(5)
+    good, bad = tmp_path / "good", tmp_path / "bad"
+    good.mkdir()
+    bad.mkdir()
+    for folder, texts in ((good, _arrays(rng)), (bad, _damaged(rng))):
+        for i, text in enumerate(texts):
+            (folder / f"f{i:02d}.json").write_text(text)
+    (good / "feedbacks_1.json").write_text("not read")
+    (good / "empty.json").write_text("")
+    settings = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "5"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        wanted = files.read_judge(spark, str(good)).orderBy("file", "pos").collect()
+        got = split_json.read_judge_split(spark, str(good))
+        assert got.columns == files.read_judge(spark, str(good)).columns
+        assert got.orderBy("file", "pos").collect() == wanted and len(wanted) > 200
+        assert split_json.judge_rejects_split(spark, str(good)).count() == 0
+        refused = {r.file for r in split_json.judge_rejects_split(spark, str(bad)).collect()}
+        # The whole-file reader passes over what follows the closing bracket (f05).
+        assert refused - {"f05.json"} == {r.file for r in files.judge_rejects(spark, str(bad)).collect()}
+        assert "f05.json" in refused and len(refused) > 7
+        with pytest.raises(Exception, match="damaged judge file: f0"):
+            split_json.read_judge_split(spark, str(bad)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

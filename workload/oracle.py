@@ -574,6 +574,7 @@ walk AS (SELECT rn, CAST(0 AS BIGINT) AS pack, CAST(1 AS BIGINT) AS n, CAST(size
 SELECT pack, count(*) AS n, min(id) AS first_id, max(id) AS last_id, CAST(sum(size) AS BIGINT) AS n_chars,
   md5(string_agg('Item ' || n || ':' || chr(10) || t, chr(10) || chr(10) ORDER BY rn)) AS body_md5
 FROM walk JOIN r USING (rn) GROUP BY pack"""
+    sql["json_array_records"] = "SELECT doc_id AS id, md5(text) AS text_md5, lang FROM documents"
     sql["csv_records"] = "SELECT doc_id AS id, source, md5(text) AS text_md5 FROM documents"
     head = _prompt_head().replace("'", "''")
     sql["request_prompts"] = f"""WITH p AS (SELECT doc_id AS id, '{head}' || text AS body FROM documents)

@@ -25,6 +25,7 @@ from gradus.schema import CONCEPTS, LEVELS_3, LEVELS_5
 from gradus.session import shared_folder
 from gradus.sources.files import parse_json_array
 from gradus.sources.split_csv import read_csv_split
+from gradus.sources.split_json import read_judge_split
 from gradus.sources.tables import catalog_union, contract_report
 from gradus.sources.versions import CacheTable
 from workload import views
@@ -104,6 +105,23 @@ def csv_records(spark, sf_dir):
     return back.select("id", "source", F.md5("text").alias("text_md5"))
 
 
+@query
+def json_array_records(spark, sf_dir):
+    """The documents as JSON arrays whose files lost their closing bracket, read in splits."""
+    docs = views.questions(spark, sf_dir)
+    record = F.struct(F.col("id").alias("ID"), F.col("text").alias("Problem_Description"), F.struct(F.col("lang").alias("Difficulty")).alias("metadata"))
+    # A file for each partition; the low bits of the id are the place in it, as documented.
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    array = docs.select(F.concat(F.when(first, "[").otherwise(""), F.to_json(record), F.lit(",")).alias("value"))
+    path = f"{shared_folder(spark)}/json-{uuid.uuid4().hex}"
+    array.write.option("lineSep", "\n").format("text").save(path)
+    back = read_judge_split(spark, path, pattern="*.txt")
+    return back.select(
+        F.col("ID").alias("id"),
+        F.md5("Problem_Description").alias("text_md5"), F.col("metadata.Difficulty").alias("lang"),
+    )
+
+
 # --- text ---------------------------------------------------------------------
 
 
