@@ -15,7 +15,9 @@ CHECKED = [
     "numeric_profile", "histogram_40", "boxplot_by_level", "first_example", "vocabulary",
     "tfidf_bigrams", "fold_document_frequency", "similar_topk", "knn_label", "class_report",
     "leaderboard", "f1_grid", "recommend_relaxed", "recommend_user_level", "few_shot_label",
-    "pack_requests", "parse_replies", "cached_predictions",
+    "pack_requests", "parse_replies", "cached_predictions", "near_duplicate_classes",
+    "near_duplicate_pairs", "pack_requests_by_size", "csv_records", "json_array_records",
+    "resume_labels", "recommend_effective", "catalog_concepts", "chosen_queries", "concept_jaccard",
 ]
 
 
