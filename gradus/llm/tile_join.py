@@ -5,7 +5,7 @@ share a shingle among the first |x| - ceil(percent * |x| / 100) + 1 of each, in
 of all shingles. The order here is rare shingles first, so passages that many documents hold
 bring nobody together; how frequent a shingle is, is read off a table of 2**23 counters that
 all documents fill, so its size is fixed: what a counter holds beyond the usual is a frequent
-shingle's.
+shingle's. The order decides how many tiles there are, never which links are found.
 
 Documents with equal sets are one class with one representative. The representatives that
 share a prefix shingle make a bucket:
@@ -49,6 +49,8 @@ CELLS, CHUNKS = 1 << 23, 32
 BITS = 512
 #: Members of a tile, and shingles in their sets together, at most (one member at least).
 TILE, TILE_SHINGLES = 1024, 1 << 21
+#: Pairs for each member up to which a meeting gives pairs.
+FEW = 2
 #: A class of copies with this share of all rows is dealt to SALTS keys; so there are few.
 HOT_SHARE, SALTS = 1000, 32
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -60,8 +62,7 @@ def _needed(percent: int, size: int | np.ndarray) -> int | np.ndarray:
 
 
 def _counters(source: DataFrame, width: int) -> np.ndarray:
-    """For each cell how far it is above the usual: 0 within four standard deviations, then
-    one more for each doubling."""
+    """For each cell how much it holds, on a logarithmic scale round the usual."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, dtype=np.int32)
@@ -92,13 +93,9 @@ def _counters(source: DataFrame, width: int) -> np.ndarray:
     found = np.zeros((CHUNKS, CELLS // CHUNKS), dtype=np.int64)
     for r in rows:
         found[r["chunk"]] = _numbers(r["cells"])
+    # Every count has its place, so a passage of a few documents comes after what only one has.
     usual = float(np.median(found))
-    spread = 4 * max(usual, 1 / 16) ** 0.5
-    levels = np.empty(found.shape, dtype=np.uint8)
-    for level, row in zip(levels, found, strict=True):
-        above = np.maximum((row - usual) / spread, 1)
-        level[:] = np.where(above > 1, 1 + np.log2(above), 0)
-    return levels.ravel()
+    return np.clip(128 + 24 * np.log2((found.ravel() + 1) / (usual + 1)), 0, 255).astype(np.uint8)
 
 
 def _packed(numbers: np.ndarray) -> bytes:
@@ -316,18 +313,32 @@ def _side_by_side(met: DataFrame) -> DataFrame:
 
 
 def _open(met: DataFrame, percent: int) -> DataFrame:
-    """The rows of ``met`` that take part in a pair the bitmaps let through."""
+    """What the bitmaps let through, as pairs or as members.
+
+    A meeting with few such pairs for its size gives the pairs (``hub`` and ``id``), since
+    the same ones come from many buckets. One with many gives its members that take part
+    (``hub`` is NULL), which are compared with their sets side by side.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _one_by_one(batches):
-            keep = np.zeros(len(table), dtype=bool)
-            for i, others in _Meeting(table, percent).pairs():
-                keep[i] = True
-                keep[others] = True
-            if keep.any():
-                yield from table.filter(pa.array(keep)).combine_chunks().to_batches()
-
-    return _side_by_side(met).mapInArrow(run, met.schema)
+            found = list(_Meeting(table, percent).pairs())
+            if not found:
+                continue
+            n = sum(len(others) for _, others in found)
+            ids = table.column("id").to_numpy()
+            if n <= FEW * len(table):
+                rows = np.repeat([i for i, _ in found], [len(others) for _, others in found])
+                hub = pa.array(ids[np.concatenate([others for _, others in found])])
+            else:
+                rows = np.unique(np.concatenate([[i for i, _ in found], *[others for _, others in found]]))
+                hub = pa.nulls(len(rows), pa.int64())
+            kept = table.take(pa.array(rows.astype(np.int64))).append_column("hub", hub)
+            yield from kept.select([*names, "hub"]).combine_chunks().to_batches()
+
+    names = met.columns
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in met.schema.fields)
+    return _side_by_side(met).mapInArrow(run, f"{fields}, hub long")
 
 
 def _linked(met: DataFrame, percent: int) -> DataFrame:
@@ -429,8 +440,11 @@ def join_alike(
     live = live.select("key", "id", "n", "comp", (F.col("comp") == F.col("top")).alias("core"), band.cast("int").alias("band"))
     met = _tile_pairs(stage.write(live)).join(bits, ["id", "n"])
     met = stage.write(_open(met, percent))
-    sets = sets_of(met.select("id").distinct())
-    links = links.union(stage.write(_linked(met.join(sets, "id"), percent)))
+    few = met.where("hub IS NOT NULL").select(F.least("hub", "id").alias("hub"), F.greatest("hub", "id").alias("id")).distinct()
+    many = met.where("hub IS NULL").drop("hub")
+    sets = sets_of(met.select("id").union(few.select("hub")).distinct())
+    links = links.union(stage.write(_confirmed(few, sets, percent)))
+    links = links.union(stage.write(_linked(many.join(sets, "id"), percent)))
 
     # Rows that share an id but not a set join the classes of their sets.
     several = nodes.groupBy("id").agg(F.min(F.struct(*equal)).alias("x"), F.max(F.struct(*equal)).alias("y"))

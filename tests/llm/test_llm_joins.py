@@ -212,10 +212,11 @@ def _variants(rng: random.Random, words: int, groups: int, copies: int) -> dict[
     return texts
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_join_variants(spark, monkeypatch, small):
-    if small:
-        monkeypatch.setattr(tile_join, "TILE", 4)
+@pytest.mark.parametrize(("tile", "few"), [(1024, 2), (4, 0), (4, 100)])
+def test_join_variants(spark, monkeypatch, tile, few):
+    # Few or many tiles; members or pairs out of each meeting.
+    monkeypatch.setattr(tile_join, "TILE", tile)
+    monkeypatch.setattr(tile_join, "FEW", few)
     rng = random.Random(11)
     texts = _variants(rng, 60, 4, 30)
     # A passage in many documents that are otherwise different.
