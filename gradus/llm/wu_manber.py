@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradus.llm.arrow import extend, texts
+from gradus.llm.staging import Stage
 
 #: Words of benchmark text whose windows are sent to the tasks at once.
 BLOCK_WORDS = 1_000_000
@@ -136,8 +137,9 @@ def decontaminate(
     end) counted in words, ``items`` the ids, as strings, of items with occurring windows.
     Contaminated: some word is hit, and ``share`` * n_hit >= n_words.
 
-    Items are taken in blocks of about BLOCK_WORDS words, one pass over ``df`` each in one
-    job without a shuffle, so what goes through the driver and to the tasks at once is bounded.
+    Items are taken in blocks of about BLOCK_WORDS words, one pass over ``df`` each without a
+    shuffle and written before the next, so what goes through the driver and to the tasks
+    at once is bounded.
     NULL and empty texts have no words, items without words no window. An item without an
     id counts with an empty id; equal items count each. Columns of ``df`` by the new names
     are replaced, others stay, whatever their names; empty tables give empty results.
@@ -157,7 +159,13 @@ def decontaminate(
     out = df.withColumns(
         {"_spans": F.array().cast("array<int>"), "_items": F.array().cast("array<string>"), "_n": F.lit(0)}
     )
+    stage = Stage(df.sparkSession)
     for block in range(blocks):
+        if block:
+            # One block's items and tables at a time; the next pass reads what this one found.
+            done, out = out, stage.write(out)
+            if block > 1:
+                stage.drop(done)
         part = item.where(F.pmod(F.xxhash64("name", "body"), F.lit(blocks)) == block)
         rows = [(r.name, r.body) for r in part.toLocalIterator()]
         made = extend(out, "n0 int, s0 array<int>, i0 array<string>", _search(rows, "body", window))
