@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from gradus.functions.folding import let
 from gradus.functions.text import ngrams, strip
-from gradus.operators.ranks import sequence_rank
+from gradus.operators.packing import assign_packs
 from gradus.operators.similarity import neighbours_of_rows
 from gradus.operators.vectors import TfidfModel
+from gradus.session import durable
 
 
 #: Keys that one token of the dictionary is dealt to.
@@ -47,16 +48,14 @@ def pack_requests(
 ) -> DataFrame:
     """(pack, n, first_id, last_id, body): consecutive items, numbered from 1 per pack.
 
-    Positions come from a bucketed rank, so no task sees more than one bucket of ids,
-    and a pack gathers ``pack_size`` rows.
+    Positions come from ranges of the ids alone, wherever these lie, and the texts join
+    them afterwards; a pack gathers ``pack_size`` rows. ``packing.pack_by_size`` also bounds a
+    pack's characters.
     """
-    ranked = sequence_rank(df.select(key, text), key, rank="_rank")
-    placed = ranked.select(
-        F.floor((F.col("_rank") - 1) / pack_size).cast("long").alias("pack"),
-        (F.pmod(F.col("_rank") - 1, F.lit(pack_size)) + 1).cast("int").alias("position"),
-        F.col(key).alias("_key"),
-        F.col(text).alias("_text"),
+    rows = durable(
+        df.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"), F.col(text).alias("_text"))
     )
+    placed = assign_packs(rows.withColumn("_size", F.lit(0)), 0, pack_size, "_key", "_size").join(rows, "_row")
     items = F.sort_array(F.collect_list(F.struct("position", "_key", "_text")))
     body = F.array_join(
         F.transform(
