@@ -51,8 +51,9 @@ _NEVER = 1 << 62
 class Transducer:
     """Encodes pieces of bytes with the ranks of a vocabulary."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], share: float = 1.0):
         self.ranks = ranks
+        self.most_pairs, self.most_moves = int(PAIRS * share), int(TRANSITIONS * share)
         self.token = {rank: value for value, rank in ranks.items()}
         self.pairs: dict[int, bool] = {}
         self.older_pairs: dict[int, bool] = {}
@@ -125,7 +126,7 @@ class Transducer:
         known = self.older_pairs.get(pair)
         if known is None:
             known = self._apart(before, after)
-        if len(self.pairs) >= PAIRS:
+        if len(self.pairs) >= self.most_pairs:
             self.older_pairs, self.pairs = self.pairs, {}
         self.pairs[pair] = known
         return known
@@ -182,7 +183,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.moves) > TRANSITIONS:
+        if len(self.moves) > self.most_moves:
             self.reset()
         out: list[int] = []
         steps: list[tuple[int, ...]] = []  # those whose tokens are not yet out
@@ -218,9 +219,9 @@ def _told(steps: list[tuple[int, ...]], path: int) -> list[int]:
 class _Pieces(dict):
     """Piece to its token ids as little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, transducer: Transducer):
+    def __init__(self, transducer: Transducer, most: int):
         super().__init__()
-        self.transducer, self.encode = transducer, transducer.encode
+        self.transducer, self.encode, self.most = transducer, transducer.encode, most
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -229,7 +230,7 @@ class _Pieces(dict):
             value = array("I", self.encode(piece.encode())).tobytes()
             if len(piece) > 64:
                 return value
-        if len(self) >= PIECES:
+        if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         self[piece] = value
@@ -243,13 +244,13 @@ _SPACE = r"\t-\r \x85\xa0  -     　"
 class Codec:
     """A vocabulary file of ranks with the pattern that splits texts before the merges."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, share: float = 1.0):
         with open(path, "rb") as lines:
             pairs = (line.split() for line in lines if line.strip())
             ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        transducer = Transducer(ranks)
+        transducer = Transducer(ranks, share)
         self.token = transducer.token
-        self.pieces = _Pieces(transducer)
+        self.pieces = _Pieces(transducer, int(PIECES * share))
         # \s would also take the separators U+001C to U+001F.
         spaced = pattern.replace(r"[^\s", rf"[^{_SPACE}").replace(r"\S", rf"[^{_SPACE}]")
         self.split = regex.compile(spaced.replace(r"\s", f"[{_SPACE}]"), regex.V0).findall
@@ -276,9 +277,9 @@ class Codec:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str, pattern: str) -> Codec:
-    """One for each worker process."""
-    return Codec(path, pattern)
+def codec(path: str, pattern: str, share: float = 1.0) -> Codec:
+    """One for each worker process. ``share`` is of what it may remember."""
+    return Codec(path, pattern, share)
 
 
 def encode(df: DataFrame, path: str, pattern: str, text_column: str = "text") -> DataFrame:
@@ -305,21 +306,23 @@ def _arrays(rows: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
 
-def round_trip(df: DataFrame, path: str, pattern: str, text_column: str = "text") -> DataFrame:
+def round_trip(df: DataFrame, path: str, pattern: str, text_column: str = "text", share: float = 0.4) -> DataFrame:
     """``df`` plus ``ids``, ``n_tokens`` and ``round_trip``: encoded and decoded in one pass.
 
     ``round_trip`` tells whether the ids decode to the text. Cases as in ``encode``.
+    It runs after other stages in the same workers, so it remembers only ``share`` of what the
+    others do: less memory, somewhat more time.
     """
     df = df.drop("ids", "n_tokens", "round_trip")
 
     def compute(batch: pa.RecordBatch) -> list:
-        own = codec(path, pattern)
+        own = codec(path, pattern, share)
         values = texts(batch, text_column)
         made = [own.encode(text) for text in values]
         same = ["".join(own.decode(array("I", ids))) == t for ids, t in zip(made, values, strict=True)]
         return [_arrays(made), [len(ids) // 4 for ids in made], same]
 
-    return extend(df, "ids array<int>, n_tokens long, round_trip boolean", compute, lambda: codec(path, pattern).forget())
+    return extend(df, "ids array<int>, n_tokens long, round_trip boolean", compute, lambda: codec(path, pattern, share).forget())
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids_column: str = "ids") -> DataFrame:
