@@ -81,7 +81,9 @@ def _dense(idx: list, w: list, size: int) -> np.ndarray:
     out = np.zeros((len(idx), size))
     lengths = [len(i) for i in idx]
     if sum(lengths):
-        out[np.repeat(np.arange(len(idx)), lengths), np.concatenate(idx)] = np.concatenate(w)
+        # Rows without entries may come as empty lists, which numpy takes for floats.
+        column = np.concatenate([np.asarray(i, "int64") for i in idx])
+        out[np.repeat(np.arange(len(idx)), lengths), column] = np.concatenate(w)
     return out
 
 
