@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+from collections import Counter
 
-from gradus.operators import knn, vectors
+import pytest
+
+
+from gradus.operators import knn, tagging, vectors
 from gradus.operators.similarity import _dense
 
 
@@ -20,3 +24,37 @@ def test_rows_without_entries_among_queries(spark):
         assert {r.query: r.id for r in near.collect()} == {3: 1, 4: 1}
     finally:
         spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
+
+
+def _tag_rows(spark):
+    rows = [
+        ("s", 1, ["a", "b", "a", "x"]), ("s", 2, ["x", "y"]), ("s", 3, []), ("s", 4, None), (None, 5, ["b", None, "y"]),
+        ("s", 6, ["c", "y"]), ("s", 6, ["b"]), ("t", None, ["z"]),
+    ]
+    df = spark.createDataFrame(rows, "source string, id long, words array<string>")
+    words = [("a", "A", 9), ("a", "B", 9), ("b", "B", 8), ("y", "C", 2), ("z", "D", 2), ("z", "A", 2), ("y", "C", 2), (None, "D", 9)]
+    return df, spark.createDataFrame(words, "word string, concept string, df long")
+
+
+@pytest.mark.parametrize("limit", [0, 2, 3, 100])
+@pytest.mark.parametrize("frequency", [True, False])
+def test_concepts_do_not_depend_on_what_is_frequent(spark, limit, frequency):
+    df, words = _tag_rows(spark)
+    words = words if frequency else words.drop("df")
+    got = Counter((r.source, r.id, tuple(r.words or ()), tuple(r.concepts)) for r in tagging.tag_by_dictionary(df, words, ["source", "id"], limit=limit).collect())
+    assert got == Counter([
+        ("s", 1, ("a", "b", "a", "x"), ("A", "B")), ("s", 2, ("x", "y"), ("C",)), ("s", 3, (), ()), ("s", 4, (), ()),
+        (None, 5, ("b", None, "y"), ("B", "C")), ("s", 6, ("c", "y"), ("B", "C")), ("s", 6, ("b",), ("B", "C")),
+        ("t", None, ("z",), ("A", "D")),
+    ])
+
+
+def test_only_rows_that_lack_concepts_send_words_to_the_join(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(tagging, "durable", lambda df: stored.append(df.persist()) or stored[-1])
+    names = [f"w{i}" for i in range(300)]
+    df = spark.createDataFrame([(i, names) for i in range(50)] + [(50, ["w0", "w299"])], "id long, words array<string>")
+    words = spark.createDataFrame([(w, f"c{i % 3}", 300 - i) for i, w in enumerate(names)], "word string, concept string, df int")
+    got = tagging.tag_by_dictionary(df, words, ["id"], limit=10)
+    assert {r.id: len(r.concepts) for r in got.collect()} == {**{i: 3 for i in range(50)}, 50: 2}
+    assert [(r._id, r.word) for r in stored[1].collect()] == [(50, "w299")]
