@@ -58,3 +58,21 @@ def test_only_rows_that_lack_concepts_send_words_to_the_join(spark, monkeypatch)
     got = tagging.tag_by_dictionary(df, words, ["id"], limit=10)
     assert {r.id: len(r.concepts) for r in got.collect()} == {**{i: 3 for i in range(50)}, 50: 2}
     assert [(r._id, r.word) for r in stored[1].collect()] == [(50, "w299")]
+
+
+def test_dictionary_is_joined_without_copies(spark):
+    """Copied rows of a dictionary are broadcast whole, while the planner counts one of each."""
+    df, words = _tag_rows(spark)
+    plan = tagging.tag_by_dictionary(df, words, ["source", "id"], limit=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+
+
+def test_first_terms_of_a_fold_do_not_meet_in_one_task(spark):
+    rows = [(fold, f"t{i:04}", (i * 7) % 90 + 2, 2) for fold in (0, 1) for i in range(900)] + [(0, "", 50, 50), (1, "", 60, 60)]
+    counts = spark.createDataFrame(rows, "fold int, term string, total long, df long")
+    found = vectors._largest(counts, 101, ("fold",))
+    want = {f: [r[1] for r in sorted((r for r in rows if r[0] == f), key=lambda r: (r[1] != "", -r[2], r[1]))[:101]] for f in (0, 1)}
+    got = sorted(found.collect(), key=lambda r: (r.fold, r.rn))
+    assert {f: [r.term for r in got if r.fold == f] for f in (0, 1)} == want
+    # Ranked in buckets first: no window over a whole fold reads the rows themselves.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("row_number") >= 2
