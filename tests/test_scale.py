@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 
 from gradus.operators import knn, tagging, vectors
@@ -76,3 +77,13 @@ def test_first_terms_of_a_fold_do_not_meet_in_one_task(spark):
     assert {f: [r.term for r in got if r.fold == f] for f in (0, 1)} == want
     # Ranked in buckets first: no window over a whole fold reads the rows themselves.
     assert found._jdf.queryExecution().optimizedPlan().toString().count("row_number") >= 2
+
+
+def test_first_terms_of_a_corpus_do_not_meet_in_the_driver(spark, monkeypatch):
+    plans, collect = [], DataFrame.collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or collect(df))
+    docs = spark.createDataFrame([(i, f"common words t{i % 5}") for i in range(40)], "id long, text string")
+    model = vectors.fit_tfidf(docs, max_features=3, ngram_max=1)
+    assert (model.terms, model.n_docs) == (["common", "words", "t0"], 40)
+    # A limit at the root of a plan is merged in the driver.
+    assert not plans[0].startswith("GlobalLimit")
