@@ -58,6 +58,32 @@ def test_all_pairs_equal_brute_force(spark, monkeypatch, part):
     assert allpairs.alike_pairs(members.where("false")).count() == 0
 
 
+@pytest.mark.parametrize(("entries", "least"), [(30, 4), (8_000_000, 1), (8_000_000, 4)])
+def test_pairs_meet_in_blocks_of_bounded_size(spark, monkeypatch, entries, least):
+    """Every two blocks meet once, whatever their number; the task holds one of them."""
+    for name, value in {"BLOCK_ENTRIES": entries, "LEAST_BLOCKS": least, "BOUNDS": 100}.items():
+        monkeypatch.setattr(allpairs, name, value)
+    rng = random.Random(5)
+    rows = {i: {rng.randrange(300): rng.uniform(0.1, 1.0) for _ in range(5)} | {0: 3.0} for i in range(70)}
+    members = allpairs.vector_classes(_vectors(spark, rows, {}))
+    items = members.select(F.col("id").alias("item"), "idx", "w")
+    held = allpairs._tiles(items).where("NOT streamed").groupBy("tile").agg(F.sum(F.size("idx")).alias("n")).collect()
+    assert (len(held) > 4) == (entries == 30) and max(r.n for r in held) < 10 * entries
+    got = [(r.id, r.other_id) for r in allpairs.alike_pairs(members, 0.9).collect()]
+    assert len(got) == len(set(got)) and set(got) == _cosines(rows, 0.9).keys()
+
+
+def test_class_names_equal_the_classes_of_vectors(spark):
+    rows = {1: {0: 1.0, 3: 2.0}, 2: {0: 2.0, 3: 1.0}, 3: {1: 1.0}, 4: {0: 1.0, 4: 2.0}, 5: {0: 1.0, 3: 2.0000001}}
+    vectors = _vectors(spark, rows, {20: 1, 21: 3, 22: 1})
+    wanted = {(r.id, r.class_id) for r in allpairs.vector_classes(vectors).collect()}
+    assert wanted == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (20, 1), (21, 3), (22, 1)}
+    plan = allpairs.class_names(vectors)
+    assert {(r.id, r.class_id) for r in plan.collect()} == wanted
+    # What moves is keys: the vectors are behind the table of keys.
+    assert "idx" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_quantiles_by_selection(spark):
     rng = random.Random(2)
     rows = [("hot", float(rng.randrange(50))) for _ in range(600)] + [("one", 3.5), ("none", None), (None, 1.0), (None, 2.0)]
