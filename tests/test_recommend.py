@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+from dataclasses import asdict
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -241,3 +244,60 @@ def test_window_reads_only_its_levels(spark, corpus, tmp_path):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
     unknown = asked.withColumn("level", F.lit(None).cast("double"))
     assert rank_candidates(as_queries(unknown), stored, model.size, Rules(k=500, window=0)).count() > found.count()
+
+
+class _Shared:
+    def __init__(self, block):
+        self.value = asdict(block)
+
+
+def _random_rows(rng, n, size, first=0):
+    idx = [np.sort(rng.choice(size, rng.integers(0, 12), replace=False)) for _ in range(n)]
+    w = [np.sqrt(rng.dirichlet(np.ones(len(i)))) if len(i) else np.array([]) for i in idx]
+    flags = [None if i % 11 == 0 else list(rng.integers(0, 2, 15)) for i in range(n)]
+    return pd.DataFrame(
+        {
+            "query": np.arange(n) * 7 % n + 500, "source": [f"s{i % 3}" for i in range(n)], "id": np.arange(first, first + n),
+            "level": [float("nan") if i % 5 == 0 else float(i % 3 + 1) for i in range(n)], "flags": flags, "idx": idx, "w": w,
+        }
+    )
+
+
+@pytest.mark.parametrize("rules", [
+    Rules(k=3), Rules(k=3, window=1, concept_weight=0.7, exclude_self=True), Rules(k=2, max_cosine=0.3, concept_weight=0.7),
+    Rules(k=2, window=0, relax=True, concept_weight=0.7),
+])
+@pytest.mark.parametrize("screened", [0.0, 1 / 16, 1.0])
+def test_screened_rows_equal_all_rows(monkeypatch, rules, screened):
+    """After the first batch only rows that may be among the best are scored in full."""
+    rng = np.random.default_rng(3)
+    block = similarity._block(_random_rows(rng, 37, 60), 64)
+    catalog = _random_rows(rng, 2000, 60)
+    barred = [[500, 501, 9_999] if i % 4 == 0 else None for i in range(len(catalog))]
+    catalog = catalog.assign(excluded_by=barred)
+    score = similarity._score_batch
+    full = similarity._best(score(catalog, block, rules, 64), rules.k)
+    calls = []
+    monkeypatch.setattr(similarity, "_score_batch", lambda *a: calls.append(1) or score(*a))
+    monkeypatch.setattr(similarity, "CATALOG_VALUES", 64 * 100)
+    monkeypatch.setattr(similarity, "SCREENED", screened)
+    got = pd.concat(similarity._score_task(_Shared(block), rules, 64)(iter([catalog[:900], catalog[900:]])))
+    names = ["query", "source", "id", "in_window", "cosine", "jaccard", "score"]
+    keys = ["query", "in_window", "score", "source", "id"]
+    a, b = (x.sort_values(keys).reset_index(drop=True)[names] for x in (got, full))
+    pd.testing.assert_frame_equal(a, b, check_exact=True)
+    if screened == 1.0 and not rules.relax:
+        assert len(calls) == 1
+
+
+def test_exclusions_of_many_blocks_are_computed_once(corpus, spark):
+    """Every block read them from their source again; now they are stored once."""
+    model, catalog, _ = corpus
+    asked = as_queries(prepare(catalog.where("id % 7 = 0").withColumn("query", F.col("id")), ("query",)))
+    seen = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda x: seen.add(1) or x, "long").asNondeterministic()
+    exclude = spark.createDataFrame([(7, "s0", i) for i in range(20)], "query long, source string, id long")
+    exclude = exclude.withColumn("query", count("query"))
+    found = rank_candidates(asked, prepare(catalog), model.size, Rules(k=3), exclude, block_values=5 * (model.size + 15))
+    assert found.where("query = 7 and source = 's0' and id < 20").count() == 0
+    assert seen.value == 20
