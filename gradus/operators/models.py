@@ -28,7 +28,7 @@ from gradus.operators.metrics import confusion_counts, over_folds, summary_metri
 from gradus.operators.vectors import TfidfModel, fit_folds
 from gradus.schema import SEED
 
-ROWS_PER_PARTITION = 20_000
+ROWS_PER_PARTITION = 4_000
 
 
 @dataclass(frozen=True)

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from gradus.operators import models
+from gradus.operators import models, vectors
 from gradus.operators.vectors import fit_tfidf
 from gradus.plans.evaluation import train_and_compare
 
@@ -54,3 +54,27 @@ def test_saved_pipeline_and_filled_labels(rows, tmp_path):
 def test_unknown_family():
     with pytest.raises(ValueError, match="family"):
         models.Family("tree").estimator({}, 1.0)
+
+
+def test_training_rows_fill_the_cores(spark):
+    """Twenty thousand rows in a task left most cores idle in every iteration."""
+    rows = spark.range(0, 48_000, 1, 40)
+    assert models.compact(rows, 48_000).rdd.getNumPartitions() == 12
+    assert models.compact(rows, 900).rdd.getNumPartitions() == 1
+
+
+def test_fold_counts_shuffle_terms_once(spark):
+    rows = [(i % 3, ["aa", "bb", "aa"] if i % 2 else ["bb", f"c{i}"]) for i in range(12)]
+    folded = spark.createDataFrame(rows, "fold int, terms array<string>")
+    found = vectors.fold_term_counts(folded)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+    wanted = {}
+    for fold in range(3):
+        for own, terms in rows:
+            for term in terms if own != fold else ():
+                total, _ = wanted.get((fold, term), (0, 0))
+                df = sum(term in t for o, t in rows if o != fold)
+                wanted[(fold, term)] = (total + 1, df)
+    assert {(r.fold, r.term): (r.total, r.df) for r in found.collect()} == wanted
+    assert vectors.fold_term_counts(folded.where("false")).count() == 0
