@@ -67,7 +67,8 @@ def test_pairs_meet_in_blocks_of_bounded_size(spark, monkeypatch, entries, least
     rows = {i: {rng.randrange(300): rng.uniform(0.1, 1.0) for _ in range(5)} | {0: 3.0} for i in range(70)}
     members = allpairs.vector_classes(_vectors(spark, rows, {}))
     items = members.select(F.col("id").alias("item"), "idx", "w")
-    held = allpairs._tiles(items).where("NOT streamed").groupBy("tile").agg(F.sum(F.size("idx")).alias("n")).collect()
+    blocks = allpairs._blocks(len(rows), sum(map(len, rows.values())))
+    held = allpairs._tiles(items, blocks).where("NOT streamed").groupBy("tile").agg(F.sum(F.size("idx")).alias("n")).collect()
     assert (len(held) > 4) == (entries == 30) and max(r.n for r in held) < 10 * entries
     got = [(r.id, r.other_id) for r in allpairs.alike_pairs(members, 0.9).collect()]
     assert len(got) == len(set(got)) and set(got) == _cosines(rows, 0.9).keys()
