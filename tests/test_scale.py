@@ -3,9 +3,11 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
 
+from gradus.functions import text
 from gradus.operators import knn, tagging, vectors
 from gradus.operators.similarity import _dense
 
@@ -87,3 +89,36 @@ def test_first_terms_of_a_corpus_do_not_meet_in_the_driver(spark, monkeypatch):
     assert (model.terms, model.n_docs) == (["common", "words", "t0"], 40)
     # A limit at the root of a plan is merged in the driver.
     assert not plans[0].startswith("GlobalLimit")
+
+
+def test_words_of_batches_are_the_words_of_columns(spark):
+    odd = ["ab", "cd\u00e9 x \ufb01ne of", None, "", "İstanbul ǅ ½ naïve Σ日本 ẞß", "a`b c`d ``` x", "\0 a\0bc\x1ftab", "zz", "b"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "id int, text string").coalesce(1)
+    for drop in (None, (), ("ab",)):
+        both = df.select(text.word_tokens(text.clean_text(F.col("text")), drop).alias("a"), vectors.words_of(F.col("text"), drop).alias("b"))
+        assert all(r.a == r.b for r in both.collect())
+
+
+def test_a_fit_explodes_no_ngrams_and_finds_the_same_terms(spark, monkeypatch):
+    rows = [(i, [f"w{(i * i + j * j * 3) % (5 + j % 9)}" for j in range(40)]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "id int, words array<string>").repartition(3)
+    settings = [(30, 2, 3), (7, 3, 1), (1000, 2, 1), (5, 1, 2)]
+    expected = []
+    for n, longest, least in settings:
+        totals = vectors.term_totals(vectors.with_terms(docs, ngram_max=longest)).where(F.col("df") >= least)
+        expected.append([(r.term, vectors.idf(60, r.df)) for r in totals.orderBy(F.desc("total"), "term").limit(n).collect()])
+
+    def refused(*args, **kwargs):
+        raise AssertionError("terms counted as strings")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(vectors, "term_totals", refused)
+        fitted = [vectors.fit_tfidf(docs, n, longest, least) for n, longest, least in settings]
+    monkeypatch.setattr(vectors, "NUMBERED", 2)
+    fitted += [vectors.fit_tfidf(docs, n, longest, least) for n, longest, least in settings]
+    for model, terms in zip(fitted, expected * 2):
+        assert list(zip(model.terms, model.weights)) == terms and model.n_docs == 60
+    for model in fitted[:4]:
+        old = model.transform_terms(docs.withColumn("terms", text.ngrams(F.col("words"), model.ngram_max)))
+        new = {r.id: r.features for r in model.transform(docs).collect()}
+        assert {r.id: r.features for r in old.collect()} == new
