@@ -9,7 +9,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
@@ -29,6 +31,8 @@ from gradus.operators.vectors import TfidfModel, fit_folds
 from gradus.schema import SEED
 
 ROWS_PER_PARTITION = 4_000
+#: Fits of one fold, and classes of one fit, that run side by side: most iterations are short jobs.
+CONCURRENT = 4
 
 
 @dataclass(frozen=True)
@@ -50,7 +54,7 @@ class Family:
             svm = LinearSVC(
                 regParam=penalty, standardization=False, maxIter=params.get("max_iter", 50)
             )
-            return OneVsRest(classifier=svm, **columns)
+            return OneVsRest(classifier=svm, parallelism=CONCURRENT, **columns)
         if self.name == "forest":
             return RandomForestClassifier(
                 numTrees=params.get("trees", 200),
@@ -80,17 +84,33 @@ def fit_classifier(
     training: DataFrame, family: Family, params: dict, label: str = "label"
 ) -> PipelineModel:
     """Features to ``pred``, balanced class weights; one self-contained model."""
+    return fit_grid(training, family, [params], label)[0]
+
+
+def fit_grid(
+    training: DataFrame, family: Family, grid: Sequence[dict], label: str = "label"
+) -> list[PipelineModel]:
+    """``fit_classifier`` for every setting of a grid; the rows are prepared once."""
     weighted = with_class_weight(training.select("features", label), label)
     indexer = StringIndexer(
         inputCol=label, outputCol="target", stringOrderType="alphabetAsc"
     ).fit(weighted)
     ready = indexer.transform(weighted).persist()
+    few = ready
     try:
         n_rows = ready.count()
-        classifier = family.estimator(params, float(n_rows)).fit(compact(ready, n_rows))
+        # Kept as it is fitted: an estimator would else keep, and drop, a copy for each setting.
+        few = compact(ready, n_rows).persist()
+
+        def fit(params: dict):
+            return family.estimator(params, float(n_rows)).fit(few)
+
+        with ThreadPool(max(1, min(CONCURRENT, len(grid)))) as pool:
+            fitted = pool.map(inheritable_thread_target(training.sparkSession)(fit), grid, 1)
     finally:
+        few.unpersist()
         ready.unpersist()
-    return PipelineModel([classifier, _to_labels(indexer)])
+    return [PipelineModel([classifier, _to_labels(indexer)]) for classifier in fitted]
 
 
 def _to_labels(indexer: StringIndexerModel) -> IndexToString:
@@ -128,8 +148,8 @@ def out_of_fold(
         features = vectors.transform(folded).select("features", "fold", *keep).persist()
         training = features.where(F.col("fold") != fold)
         testing = features.where(F.col("fold") == fold)
-        for params in grid if grid is not None else family.grid:
-            fitted = fit_classifier(training, family, params)
+        settings = list(grid if grid is not None else family.grid)
+        for params, fitted in zip(settings, fit_grid(training, family, settings), strict=True):
             parts.append(
                 fitted.transform(testing).select(
                     F.lit(_text(params)).alias("params"), "fold", *keep, "pred"

@@ -78,3 +78,28 @@ def test_fold_counts_shuffle_terms_once(spark):
                 wanted[(fold, term)] = (total + 1, df)
     assert {(r.fold, r.term): (r.total, r.df) for r in found.collect()} == wanted
     assert vectors.fold_term_counts(folded.where("false")).count() == 0
+
+
+def test_svm_query_fits_its_whole_grid(monkeypatch):
+    """One setting, ten iterations and three folds left little of the job."""
+    from workload import queries
+
+    asked = {}
+    monkeypatch.setattr(queries.folds, "with_folds", lambda df, **options: asked.update(options) or df)
+    monkeypatch.setattr(queries.views, "training", lambda *args: None)
+    monkeypatch.setattr(queries.vectors, "with_words", lambda df: type("Rows", (), {"persist": lambda self: self})())
+    monkeypatch.setattr(models, "out_of_fold", lambda rows, family, grid=None: asked.update(family=family, grid=grid))
+    queries.svm_oof(None, None)
+    assert asked == {"n_splits": 5, "family": models.SVM, "grid": None}
+    assert [s["C"] for s in models.SVM.grid] == [0.1, 1.0, 10.0] and not any("max_iter" in s for s in models.SVM.grid)
+
+
+def test_settings_fitted_side_by_side_equal_single_fits(rows):
+    training = fit_tfidf(rows).transform(rows)
+    grid = [{"C": 0.01, "max_iter": 3}, {"C": 10.0, "max_iter": 5}]
+    fitted = models.fit_grid(training, models.LOGISTIC, grid)
+    assert len(fitted) == 2
+    for params, model in zip(grid, fitted, strict=True):
+        single = models.fit_classifier(training, models.LOGISTIC, params)
+        assert model.stages[0].coefficientMatrix == single.stages[0].coefficientMatrix
+        assert model.transform(training).select("id", "pred").collect() == single.transform(training).select("id", "pred").collect()
