@@ -301,3 +301,68 @@ def test_exclusions_of_many_blocks_are_computed_once(corpus, spark):
     found = rank_candidates(asked, prepare(catalog), model.size, Rules(k=3), exclude, block_values=5 * (model.size + 15))
     assert found.where("query = 7 and source = 's0' and id < 20").count() == 0
     assert seen.value == 20
+
+
+def test_blocks_leave_k_rows_for_each_query_whatever_the_tasks(corpus, monkeypatch):
+    """What 40 tasks of each block had found was stored, 40 times the rows that are wanted."""
+    model, catalog, _ = corpus
+    asked = as_queries(prepare(catalog.where("id % 7 = 0").withColumn("query", F.col("id")), ("query",)))
+    n, rules = asked.count(), Rules(k=2)
+    whole = as_lists(rank_candidates(asked, prepare(catalog), model.size, rules))
+    stored, durable = [], similarity.durable
+    monkeypatch.setattr(similarity, "durable", lambda df: stored.append(durable(df)) or stored[-1])
+    monkeypatch.setattr(similarity, "WAVE", 2)
+    wide = prepare(catalog).repartition(40)
+    found = rank_candidates(asked, wide, model.size, rules, block_values=5 * (model.size + 15))
+    assert as_lists(found) == whole
+    waves = [df for df in stored if "score" in df.columns]
+    assert len(waves) > 1 and sum(df.count() for df in waves) <= n * rules.k
+
+
+def test_queries_of_one_level_share_blocks(corpus, monkeypatch):
+    """A block of mixed levels reads the whole catalog, with one unknown level rows of no level too."""
+    model, catalog, _ = corpus
+    asked = as_queries(prepare(catalog.where("id % 3 = 0").withColumn("query", F.col("id")), ("query",)))
+    rules, levels, block = Rules(k=3, window=0, concept_weight=0.7), [], similarity._block
+    exclude = catalog.where("id % 5 = 0").select((F.col("id") - F.col("id") % 3).alias("query"), "source", "id")
+    whole = as_lists(rank_candidates(asked, prepare(catalog), model.size, rules, exclude))
+    monkeypatch.setattr(similarity, "_block", lambda rows, size: levels.append(set(rows["level"].fillna(0))) or block(rows, size))
+    some = rank_candidates(asked, prepare(catalog), model.size, rules, exclude, block_values=9 * (model.size + 15))
+    assert as_lists(some) == whole
+    assert len(levels) > 4 and all(len(found) <= 1 for found in levels) and {0, 1, 2, 3} == set().union(*levels)
+
+
+def test_histories_in_waves_equal_one_wave(corpus, spark, monkeypatch):
+    """Profiles of all users lay on disk at once, twice, and their entries were shuffled one by one."""
+    model, catalog, rows = corpus
+    pairs = [(u, f"s{i % 3}", i) for u in range(40) for i in range(70 + u, 200, 7 + u)] + [(None, "s0", 90), (3, None, 1)]
+    history = spark.createDataFrame(pairs + pairs[:50], "query long, source string, id long").repartition(6)
+    users = spark.createDataFrame([(u, None if u % 9 == 0 else u % 3 + 1) for u in range(45)], "query long, level int")
+    one = as_lists(recommend.recommend_for_histories(users, history, catalog, model, k=3))
+    assert len(one) == 45
+    monkeypatch.setattr(recommend, "WAVE_VALUES", 10 * (model.size + 15))
+    for limit in (0, 10_000):
+        monkeypatch.setattr(recommend, "PROFILE_ROWS", limit)
+        assert as_lists(recommend.recommend_for_histories(users, history, catalog, model, k=3)) == one
+    vectors = dense(model, catalog)
+    sums: dict = {}
+    for u, _, i in set(pairs):
+        if u is not None and i != 1:
+            sums[u] = sums.get(u, 0) + vectors[i]
+    monkeypatch.setattr(recommend, "OUT_ROWS", 2)
+    for got in recommend.centroids(history, catalog).collect():
+        built = np.zeros(model.size)
+        built[got.idx] = got.w
+        assert np.allclose(built, sums[got.query] / np.linalg.norm(sums[got.query]))
+
+
+def test_tables_of_a_finished_wave_are_deleted(corpus, spark, monkeypatch):
+    model, catalog, _ = corpus
+    asked = as_queries(prepare(catalog.where("id % 7 = 0").withColumn("query", F.col("id")), ("query",)))
+    target, dropped, release = similarity.durable(prepare(catalog)), [], similarity.release
+    monkeypatch.setattr(similarity, "release", lambda df: dropped.append(df.columns) or release(df))
+    exclude = spark.createDataFrame([(7, "s0", i) for i in range(20)], "query long, source string, id long")
+    values = 5 * (model.size + 15)
+    found = rank_candidates(asked, target, model.size, Rules(k=3), exclude, values, stored=True)
+    assert len(dropped) == 2 and "idx" in dropped[0]
+    assert as_lists(found) == as_lists(rank_candidates(asked, target, model.size, Rules(k=3), exclude))
