@@ -170,3 +170,21 @@ def test_csv_line_ends_and_open_quotes(spark, tmp_path):
     got = {r.id: r.text for r in spark_rows.collect()}
     assert got[1] == "a\r\nb" and got[2] == "plain" and 5 not in got
     assert csv_records(spark, str(file)).where(F.col("first")).count() == 1
+
+
+def test_blocks_are_not_shuffled_past_each_other(spark, monkeypatch):
+    """Every vector was shuffled to half of the blocks: what lay on disk grew with the square of the rows."""
+    monkeypatch.setattr(allpairs, "PART", 10)
+    rng = random.Random(6)
+    rows = {i: {rng.randrange(40): rng.uniform(0.1, 1.0) for _ in range(5)} | {0: 3.0} for i in range(90)}
+    members = allpairs.vector_classes(_vectors(spark, rows, {200: 3, 201: 3}))
+    stored, durable = [], allpairs.durable
+    monkeypatch.setattr(allpairs, "durable", lambda df: stored.append((df, durable(df))) or stored[-1][1])
+    wanted = _cosines(rows, 0.9)
+    got = [(r.id, r.other_id) for r in allpairs.alike_pairs(members, 0.9).collect()]
+    assert wanted and len(got) == len(set(got)) and set(got) == wanted.keys()
+    waves = [(df, table) for df, table in stored if "other" in df.columns]
+    assert len(waves) == 3  # nine blocks, four at a time
+    assert all("Exchange" not in df._jdf.queryExecution().executedPlan().toString() for df, _ in waves)
+    # No vector is stored more than once.
+    assert sum(table.count() for _, table in stored if "idx" in table.columns) == len(rows)
